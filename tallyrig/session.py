@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +38,27 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table into the shared checkpoint folder and read it from there.
+
+    Like a checkpoint, but columnar and compressed, and later steps read only
+    the columns they need.  The table is removed when the program ends.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tallyrig-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # noqa: BLE001  the session may have ended before
+        pass
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Upper size estimate Catalyst has for ``df`` (bytes)."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
