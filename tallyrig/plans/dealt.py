@@ -217,3 +217,127 @@ def queries() -> dict:
             p4_grid,
         )
     }
+
+
+_P1 = """
+SELECT stream, field, episode_path, row_idx{flags} FROM (
+WITH r AS (
+  SELECT 'actions.eef_pose' AS stream, 'left_x' AS field, episode_path, row_idx, min(left_x) AS v,
+         10 AS k, 8 AS h, -2.0 AS lo, 2.0 AS hi
+  FROM actions_eef_pose WHERE left_x IS NOT NULL AND NOT isnan(left_x) GROUP BY ALL
+  UNION ALL
+  SELECT 'actions.eef_pose', 'right_z', episode_path, row_idx, min(right_z), 10, 8, -2.0, 2.0
+  FROM actions_eef_pose WHERE right_z IS NOT NULL AND NOT isnan(right_z) GROUP BY ALL
+  UNION ALL
+  SELECT 'observation.state.joint_position', 'timestamp_ms', episode_path, row_idx, min(timestamp_ms), 20, 4, 0.0,
+         'infinity'::DOUBLE
+  FROM state_joint_position WHERE timestamp_ms IS NOT NULL AND NOT isnan(timestamp_ms) GROUP BY ALL
+), o AS (
+  SELECT *, lag(v) OVER w AS prev, row_number() OVER w AS rn,
+         count(*) OVER (PARTITION BY stream, field, episode_path) AS n,
+         list_sort(list(v) OVER (w ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING)) AS around
+  FROM r WINDOW w AS (PARTITION BY stream, field, episode_path ORDER BY row_idx)
+), e AS (
+  SELECT *, CASE WHEN abs(v) < 'infinity' OR abs(prev) < 'infinity' THEN abs(v - prev) END AS d,
+         sum(CASE WHEN v = prev THEN 0 ELSE 1 END) OVER (PARTITION BY stream, field, episode_path ORDER BY row_idx) AS run
+  FROM o
+), s AS (SELECT stream, field, episode_path, median(d) AS step FROM e GROUP BY ALL),
+l AS (
+  SELECT *, count(*) OVER (PARTITION BY stream, field, episode_path, run) AS held_for, around[len(around) // 2 + 1] AS level
+  FROM e
+)
+SELECT l.*,
+       CASE WHEN isinf(v) AND isinf(level) THEN false ELSE coalesce(abs(v - level) > k * step, false) END AS spike,
+       coalesce(v = prev, false) AND held_for >= h AS held,
+       v < lo OR v > hi OR isinf(v) AS impossible
+FROM l JOIN s USING (stream, field, episode_path)
+WHERE rn > 5 AND rn <= n - 5
+) WHERE spike OR held OR impossible
+"""
+
+_LATEST = r"""
+latest AS (
+  SELECT episode_path, CAST(e.task AS VARCHAR) AS raw_task, CAST(e.robot AS VARCHAR) AS raw_robot, e.metrics AS metrics FROM (
+    SELECT episode_path, arg_max(ep, ep) AS e FROM (
+      SELECT episode_path, {'last_updated': coalesce(last_updated, '0001-01-01'::TIMESTAMPTZ), 'task': coalesce(task, ''), 'robot': coalesce(robot, ''), 'operator': coalesce(operator, ''),
+        'date': coalesce(date, ''), 'final_status': coalesce(final_status, ''), 'training_ready': coalesce(training_ready, false), 'metrics': coalesce(metrics, '')} AS ep FROM episodes
+    ) GROUP BY episode_path)
+), clean AS (
+  SELECT episode_path, metrics,
+    coalesce(nullif(regexp_replace(regexp_replace(lower(raw_task), '[^\p{L}\p{N}]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), '(unknown)') AS task,
+    coalesce(nullif(regexp_replace(regexp_replace(lower(raw_robot), '[^\p{L}\p{N}]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), '(unknown)') AS robot
+  FROM latest
+)
+"""
+
+_P3 = (
+    "WITH "
+    + _LATEST
+    + """, d AS (
+  SELECT episode_path, task, robot,
+    CASE WHEN json_valid(metrics) THEN try_cast(json_extract_string(metrics, '$.p2_duration_seconds') AS DOUBLE) END AS x
+  FROM clean
+), t AS (SELECT *, CASE WHEN x > 0 AND x <= 86400 THEN x END AS duration FROM d),
+f AS (SELECT episode_path, count(*) AS n, count(*) FILTER (WHERE status <> 'pass') AS flagged FROM (
+  SELECT id, min(episode_path) AS episode_path, max(status) AS status FROM findings GROUP BY id) GROUP BY 1)
+SELECT {key}, count(*) AS episodes, CAST(coalesce(sum(n), 0) AS BIGINT) AS findings,
+  CAST(coalesce(sum(flagged), 0) AS BIGINT) AS flagged_findings,
+  count(*) FILTER (WHERE flagged > 0) AS flagged_episodes,
+  round(count(*) FILTER (WHERE flagged > 0) / count(*), 6) AS flagged_share,
+  round(sum(duration), 3) AS duration_seconds,
+  round(sum(duration) / nullif(count(duration), 0), 3) AS mean_duration
+FROM t LEFT JOIN f USING (episode_path) GROUP BY {key}
+"""
+)
+
+_P4_READINGS = r"""
+WITH r AS (
+  SELECT episode_path, modality, timestamp_ms AS t, NULL::DOUBLE AS v FROM frame_times
+  WHERE lower(regexp_replace(is_new, '^\s+|\s+$', '', 'g')) IN ('1', 'true', 'yes')
+  UNION ALL
+  SELECT episode_path, 'observation.state.joint_position', timestamp_ms, j1
+  FROM state_joint_position JOIN (
+    SELECT episode_path, min(first_timestamp_ms) AS a, max(last_timestamp_ms) AS z FROM trim_plan GROUP BY 1
+  ) USING (episode_path) WHERE timestamp_ms BETWEEN a AND z
+), u AS (
+  SELECT episode_path, modality, t, avg(v) AS v FROM r WHERE t IS NOT NULL AND NOT isnan(t) AND abs(t) <= 9e14 GROUP BY ALL
+), n AS (
+  SELECT *, lead(t) OVER (PARTITION BY episode_path, modality ORDER BY t) AS nx FROM u
+), m AS (
+  SELECT *, CAST(floor(t / 100) AS BIGINT) AS s, CASE WHEN nx - t <= 30000 THEN nx END AS nxt FROM n
+)
+"""
+
+
+def oracle_sql() -> dict:
+    p3 = lambda key: _P3.replace("{key}", key)
+    return {
+        "p1_found": _P1.replace("{flags}", ""),
+        "p1_flags": _P1.replace("{flags}", ", spike, held, impossible"),
+        "p3_by_task": p3("task"),
+        "p3_by_robot": p3("robot"),
+        "p3_task_robot_frames": "WITH "
+        + _LATEST
+        + r"""
+SELECT task, robot, count(DISTINCT episode_path) AS episodes, count(*) AS frame_rows,
+  CAST(sum(CASE WHEN lower(regexp_replace(is_new, '^\s+|\s+$', '', 'g')) IN ('1', 'true', 'yes')
+    AND timestamp_ms IS NOT NULL AND NOT isnan(timestamp_ms) THEN 1 ELSE 0 END) AS BIGINT) AS fresh_rows
+FROM clean JOIN frame_times USING (episode_path) GROUP BY 1, 2""",
+        "p3_task_pairs": r"""
+WITH a AS (SELECT nullif(regexp_replace(regexp_replace(lower(task), '[^\p{L}\p{N}]+', '_', 'g'), '^_+|_+$', '', 'g'), '') AS task FROM episodes),
+b AS (SELECT nullif(regexp_replace(regexp_replace(lower(task), '[^\p{L}\p{N}]+', '_', 'g'), '^_+|_+$', '', 'g'), '') AS task,
+  removed_total_ms AS x FROM trim_plan)
+SELECT task, count(*) AS pairs, round(sum(x), 3) AS removed_ms FROM a JOIN b USING (task) GROUP BY 1""",
+        "p4_found": _P4_READINGS
+        + """SELECT episode_path, modality, unnest(range(s + 1, CAST(floor(nxt / 100) AS BIGINT))) AS slot FROM m WHERE nxt IS NOT NULL""",
+        "p4_grid": _P4_READINGS
+        + """, x AS (
+  SELECT episode_path, modality, t, v, s, least(coalesce(nxt, 'infinity'::DOUBLE), t + 100) AS till,
+    unnest(range(s, coalesce(CAST(floor(nxt / 100) AS BIGINT), s) + 1)) AS slot FROM m
+), w AS (SELECT *, greatest(0.0, least(till, (slot + 1) * 100.0) - greatest(t, slot * 100.0)) AS w FROM x)
+SELECT episode_path, modality, slot, count(*) FILTER (WHERE s = slot) AS n_readings,
+  round(sum(w) / 100, 6) AS coverage,
+  round(CASE WHEN sum(w) FILTER (WHERE v IS NOT NULL) > 0 THEN sum(w * v) / sum(w) FILTER (WHERE v IS NOT NULL) END, 6) AS mean_value,
+  count(*) FILTER (WHERE s = slot) = 0 AS missing
+FROM w GROUP BY 1, 2, 3""",
+    }
