@@ -5,12 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrig.functions.text import is_fresh
+from tallyrig.functions.text import is_fresh, tidy_name
 from tallyrig.llm.canonical import canonical_documents, look_alike_pairs
+from tallyrig.llm.leaks import leaked_passages
+from tallyrig.llm.mixing import mix_shares, mix_sources, token_count
+from tallyrig.llm.multiselect import combined_percentiles, percentiles, summarise
 from tallyrig.llm.nearest import nearest_by_time
 from tallyrig.llm.runs import collapse_runs
-from tallyrig.session import table
-
+from tallyrig.llm.splits import grouped_split
+from tallyrig.plans.dealt import latest_episodes
+from tallyrig.session import table, written
+
+#: Problem 5: the numbers of episodes.metrics and the percentiles taken of them.
+METRICS = ["p2_duration_seconds", "p3_left_wrist_view_drop_ratio", "p5_max_velocity", "p5_jitter_score"]
+QUANTILES = [0.01, 0.25, 0.5, 0.75, 0.9, 0.99]
+#: Problem 6: the stated proportions.
+SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 JOINTS = [f"j{i}" for i in range(1, 8)]
 
 
@@ -30,6 +40,59 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_pairs(spark, sf_dir).select("episode_path", "modality", "frame_row_idx", "pose_row_idx")
 
 
+def p5_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``robot, date, metric, value``: the readable numbers of each current episode."""
+    episodes = latest_episodes(spark, sf_dir)
+    number = lambda m: F.expr(f"try_cast(get_json_object(metrics, '$.{m}') as double)")
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), number(m).alias("value")) for m in METRICS])
+    return episodes.select(F.coalesce("robot", F.lit("(unknown)")).alias("robot"), "date", F.inline(pairs))
+
+
+def p5_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact percentiles of each metric per robot; the error is zero."""
+    out = percentiles(p5_values(spark, sf_dir), ["robot", "metric"], "value", QUANTILES)
+    return out.withColumn("value", F.round("value", 6))
+
+
+def p5_combined_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from one summary a day, within half a percent of the exact values."""
+    days = summarise(p5_values(spark, sf_dir), ["robot", "metric", "date"], "value")
+    out = combined_percentiles(days, ["robot", "metric"], QUANTILES)
+    return out.withColumn("value", F.round("value", 6))
+
+
+def p6_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split of each episode.
+
+    The operator is taken without case, blanks and separators; where it is
+    missing, from the episode's path, so one operator stays in one split.
+    """
+    operator = F.coalesce(
+        tidy_name(F.col("operator")),
+        tidy_name(F.nullif(F.regexp_extract("episode_path", r"/([^/]+)/episode_[^/]*$", 1), F.lit(""))),
+    )
+    episodes = table(spark, sf_dir, "episodes").select(
+        "episode_path", operator.alias("operator"), tidy_name(F.col("task")).alias("task"), "training_ready"
+    )
+    return grouped_split(episodes, "episode_path", "operator", ["task", "training_ready"], SHARES)
+
+
+def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episodes and shares of each split, in all and per training_ready."""
+    splits = p6_splits(spark, sf_dir).select("episode_path", "split")
+    ready = latest_episodes(spark, sf_dir).select("episode_path", "training_ready")
+    counts = splits.join(ready, "episode_path").groupBy("training_ready", "split").agg(F.count(F.lit(1)).alias("episodes"))
+    whole = counts.groupBy("split").agg(F.sum("episodes").alias("episodes")).select(
+        F.lit("all").alias("training_ready"), "split", "episodes"
+    )
+    each = counts.select(F.coalesce(F.col("training_ready").cast("string"), F.lit("(null)")).alias("training_ready"), "split", "episodes")
+    both = whole.unionByName(each)
+    total = both.groupBy("training_ready").agg(F.sum("episodes").alias("n"))
+    return both.join(total, "training_ready").select(
+        "training_ready", "split", "episodes", F.round(F.col("episodes") / F.col("n"), 6).alias("share")
+    )
+
+
 def p7_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every run of near-identical joint positions as one event."""
     joints = table(spark, sf_dir, "state_joint_position")
@@ -41,6 +104,33 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_runs(spark, sf_dir).filter("n_rows >= 10").select("episode_path", "first_row_idx", "last_row_idx")
 
 
+def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with each evaluation item of which it holds a passage, and how much of it."""
+    return leaked_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, with its source tidied."""
+    documents = table(spark, sf_dir, "documents")
+    return documents.select("doc_id", tidy_name(F.col("source")).alias("source"), token_count(F.col("text")).alias("tokens"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document is used in the mix."""
+    return mix_sources(p9_tokens(spark, sf_dir), table(spark, sf_dir, "mix_targets"), "tokens")
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares the mix reaches."""
+    targets = table(spark, sf_dir, "mix_targets")
+    tokens = written(p9_tokens(spark, sf_dir))
+    return mix_shares(written(mix_sources(tokens, targets, "tokens")), targets, tokens)
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return look_alike_pairs(table(spark, sf_dir, "documents"))
 
@@ -51,7 +141,9 @@ def p10_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_pairs, p7_found, p7_runs, p10_found, p10_canonical)}
+    found = (p2_found, p7_found, p8_found, p10_found)
+    more = (p2_pairs, p5_percentiles, p5_combined_days, p6_splits, p6_report, p7_runs, p8_leaks, p9_mix, p9_shares, p10_canonical)
+    return {f.__name__: f for f in (*found, *more)}
 
 
 def oracle_sql() -> dict:
