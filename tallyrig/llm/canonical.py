@@ -21,10 +21,12 @@ import unicodedata
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tallyrig.session import written
+
 #: Letters drawn alike in Latin, Greek and Cyrillic (Latin; the others).
 LOOK_ALIKES = {
     "A": "ΑА", "B": "ΒВ", "C": "СϹ", "E": "ΕЕ", "G": "Ԍ", "H": "ΗН", "I": "ΙІӀ", "J": "ЈͿ",
@@ -49,7 +51,7 @@ def _within(code: int, ranges: tuple) -> bool:
 
 @lru_cache(maxsize=1)
 def _tables() -> tuple[dict, re.Pattern]:
-    """The character mapping, and the pattern of an unstable segment."""
+    """The character mapping, and the pattern of a run of unstable characters."""
     mapping: dict[int, str] = {}
     unstable: set[int] = set()
     for code in [*range(0x80, _LAST), *_TAGS]:
@@ -80,29 +82,34 @@ def _tables() -> tuple[dict, re.Pattern]:
         if len(first) > 1 and ord(first[0]) in mapping:
             unstable.add(code)
     unstable |= mapping.keys()
-    ordered, spans = sorted(c for c in unstable if c >= 0x80), []
+    # Beyond the basic plane every character counts as unstable: a single range, which the pattern tests fast.
+    ordered, spans = sorted(c for c in unstable if 0x80 <= c < 0x10000), []
     for code in ordered:
         if spans and spans[-1][1] == code - 1:
             spans[-1][1] = code
         else:
             spans.append([code, code])
+    spans.append([0x10000, 0x10FFFF])
     members = "".join(f"{re.escape(chr(a))}-{re.escape(chr(z))}" for a, z in spans)
-    return mapping, re.compile(f"[^{members}]?[{members}]+")
+    return mapping, re.compile(f"[{members}]+")
 
 
 def canonical(text: str) -> str:
     """The consistent form of ``text``; applying it twice changes nothing."""
     if text.isascii():
         return text
-    mapping, segment = _tables()
-
-    def settle(match: re.Match) -> str:
-        decomposed = unicodedata.normalize("NFD", match.group())
+    mapping, unstable = _tables()
+    normalize = unicodedata.normalize
+    out, done = [], 0
+    for run in unstable.finditer(text):
+        start = max(run.start() - 1, done)
+        decomposed = normalize("NFD", text[start : run.end()])
         # A full-width form may map to a composite or a combining mark, hence the second decomposition.
-        mapped = unicodedata.normalize("NFD", decomposed.translate(mapping)).translate(mapping)
-        return unicodedata.normalize("NFC", mapped)
-
-    return segment.sub(settle, text)
+        mapped = normalize("NFD", decomposed.translate(mapping)).translate(mapping)
+        out += [text[done:start], normalize("NFC", mapped)]
+        done = run.end()
+    out.append(text[done:])
+    return "".join(out)
 
 
 @F.pandas_udf(StringType())
@@ -136,9 +143,13 @@ def look_alike_pairs(documents: DataFrame, text: str = "text", id_column: str =
     never pairs with itself.  Empty tables give no rows.
     """
     forms = canonical_documents(documents, text, id_column).filter(F.col("text").isNotNull())
-    digests = forms.select(
-        F.col(id_column).alias("id"), F.md5("canonical").alias("form"), F.md5("text").alias("variant")
-    ).dropDuplicates(["id", "variant"])
+    digest = lambda c: F.unhex(F.md5(c))
+    # Written once: the forms are the costly part, and the digests are read twice.
+    digests = written(
+        forms.select(
+            F.col(id_column).alias("id"), digest("canonical").alias("form"), digest("text").alias("variant")
+        ).dropDuplicates(["id", "variant"])
+    )
     variants = (
         digests.groupBy("form", "variant")
         .agg(F.count(F.lit(1)).alias("n"))
