@@ -29,8 +29,9 @@ BLOCK_WORDS = 256
 
 def word_list(text: Column) -> Column:
     """The words of a text in consistent form without case: stretches of letters and digits."""
-    folded = F.translate(F.lower(canonical_text(text)), *_CASE_TWINS)
-    folded = F.replace(folded, F.lit("ß"), F.lit("ss"))
+    lower = F.lower(canonical_text(text))
+    other = F.replace(F.translate(lower, *_CASE_TWINS), F.lit("ß"), F.lit("ss"))
+    folded = F.when(lower.rlike(r"[^\x00-\x7F]"), other).otherwise(lower)
     return F.array_remove(F.split(folded, r"[^\p{L}\p{N}]+"), "")
 
 
@@ -49,16 +50,21 @@ def _sketch(words: str, size: int, shingle: int) -> Column:
         F.sequence(F.lit(0), F.size(words) - shingle),
         lambda i: F.xxhash64(*[F.get(F.col(words), i + k) for k in range(shingle)]),
     )
-    count = F.size(words) - size + 1
-    # The outer transform binds the hashes once; inlined, they would be computed for every window.
-    return F.array_distinct(
-        F.flatten(
-            F.transform(
-                F.array(hashes),
-                lambda h: F.transform(F.sequence(F.lit(1), count), lambda i: F.array_min(F.slice(h, i, each))),
-            )
+
+    def widen(values: Column, offsets: list[int]) -> Column:
+        """Each element's least over itself and the ones ``offsets`` further on."""
+        # The outer transform binds the values once; inlined, they would be computed for every element.
+        inner = lambda h: F.transform(
+            F.sequence(F.lit(0), F.size(h) - offsets[-1] - 1), lambda i: F.least(*[F.get(h, i + k) for k in offsets])
         )
-    )
+        return F.flatten(F.transform(F.array(values), inner))
+
+    reach = 1
+    while reach < each:  # threefold at a time
+        wider = min(3 * reach, each)
+        hashes = widen(hashes, sorted({0, min(reach, wider - reach), wider - reach}))
+        reach = wider
+    return F.array_distinct(hashes)
 
 
 def leaked_passages(
@@ -98,8 +104,12 @@ def leaked_passages(
     step = block_words - n + 1
     blocks = (
         documents.select(F.col(document_id).alias("__doc"), word_list(F.col(text)).alias("__all"))
-        .filter(F.col("__doc").isNotNull() & (F.size("__all") >= n))
-        .withColumn("__at", F.explode(F.sequence(F.lit(1), F.size("__all") - n + 1, F.lit(step))))
+        .filter(F.col("__doc").isNotNull())
+        # A filter on the number of words would be pushed down and find the words twice.
+        .withColumn(
+            "__at",
+            F.explode(F.when(F.size("__all") >= n, F.sequence(F.lit(1), F.size("__all") - n + 1, F.lit(step)))),
+        )
         .select("__doc", F.slice("__all", F.col("__at"), block_words).alias("__w"))
     )
     candidates = (
