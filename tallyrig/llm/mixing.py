@@ -18,6 +18,8 @@ TOKENIZER_DIR = "/opt/tokenizers"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Tokens in a block, and at least in a shard of one source; shards are never more than MOST_SHARDS.
 BLOCK_TOKENS, SHARD_TOKENS, MOST_SHARDS = 512, 4_000_000, 4_096
+#: More sources than this are refused, never cut off.
+MOST_SOURCES = 1_000
 
 
 @lru_cache(maxsize=2)
@@ -106,7 +108,10 @@ def mix_sources(
     without tokens are not used; repeated rows count once; a source without
     documents gets nothing and its share is lost.  Empty tables give no rows.
     """
-    goal = {r[0]: (float(r[1] or 0), int(r[2] or 0)) for r in targets.groupBy("source").agg(F.max("target_share"), F.max("max_repeats")).limit(10_000).collect() if r[0] is not None}
+    wanted = targets.groupBy("source").agg(F.max("target_share"), F.max("max_repeats")).limit(MOST_SOURCES + 1).collect()
+    if len(wanted) > MOST_SOURCES:
+        raise ValueError(f"a mix has at most {MOST_SOURCES} sources")
+    goal = {r[0]: (float(r[1] or 0), int(r[2] or 0)) for r in wanted if r[0] is not None}
     spark = documents.sparkSession
     taken = (
         documents.select(F.col(id_column).alias("id"), F.col(source).alias("source"), F.col(tokens).cast("long").alias("tokens"))
