@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -156,7 +157,10 @@ def test_streaming_states(spark, tmp_path):
         out = build(spark.readStream.schema(schema).parquet(str(folder)))
         name = f"q{abs(hash(build.__name__))}"
         query = out.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / f"c{build.__name__}")).start()
-        query.processAllAvailable()
+        # A processing-time timeout keeps a query busy for ever, so it is given some seconds.
+        until = time.time() + 40
+        while not spark.table(name).count() and time.time() < until:
+            query.awaitTermination(1)
         query.stop()
         return sorted(map(tuple, spark.table(name).collect()))
 
