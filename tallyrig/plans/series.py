@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyrig.functions import exprs as X
+from tallyrig.functions.rotation import elements, gram_schmidt
 from tallyrig.functions.text import is_fresh
 from tallyrig.operators.ordered import islands, one_row_each, running_sum, with_halo, with_previous
+from tallyrig.operators.trajectory import trajectory_labels as label_trajectories
 from tallyrig.plans.base import SQL, clean_episodes, metric
 from tallyrig.plans.registry import Registry
 from tallyrig.session import table
@@ -460,6 +462,38 @@ def bad_streaks(bad: DataFrame, keys: list[str], least: int = 5) -> DataFrame:
     ).filter(F.col("streak_length") >= least).drop("g")
 
 
+@R.add()
+def trajectory_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label of each pose stream, and whether it is kept, mended, cropped or rejected."""
+    return label_trajectories(table(spark, sf_dir, "actions_eef_pose"))
+
+
+_SIX = [f"left_r{i}" for i in range(1, 7)]
+_SIX_OK = " AND ".join(f"isfinite({c})" for c in _SIX)
+
+
+@R.add(
+    "WITH p AS (SELECT episode_path, row_idx, " + ", ".join(f"min({c}) AS {c}" for c in _SIX) + " FROM actions_eef_pose GROUP BY ALL),"
+    f"""a AS (SELECT *, sqrt(left_r1 * left_r1 + left_r2 * left_r2 + left_r3 * left_r3) AS n FROM p WHERE {_SIX_OK}),
+b AS (SELECT *, left_r1 / n AS x1, left_r2 / n AS x2, left_r3 / n AS x3 FROM a WHERE n > 1e-9),
+c AS (SELECT *, x1 * left_r4 + x2 * left_r5 + x3 * left_r6 AS d FROM b),
+e AS (SELECT *, left_r4 - d * x1 AS u1, left_r5 - d * x2 AS u2, left_r6 - d * x3 AS u3 FROM c),
+f AS (SELECT *, sqrt(u1 * u1 + u2 * u2 + u3 * u3) AS m FROM e)
+SELECT episode_path, count(*) AS rows, round(avg(x1), 5) AS forward_x, round(avg(u2 / m), 5) AS side_y, round(avg((x1 * u2 - x2 * u1) / m), 5) AS up_z FROM f WHERE m > 1e-9 GROUP BY 1"""
+)
+def pose_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean axes of the left hand, its six numbers made a rotation matrix."""
+    rows = poses(spark, sf_dir, _SIX)
+    good = F.lit(True)
+    for c in _SIX:
+        good = good & X.finite(F.col(c))
+    made = rows.filter(good).withColumn("m", F.array(*gram_schmidt([F.col(c) for c in _SIX])))
+    m = elements("m", 9)
+    return made.filter(m[0].isNotNull() & m[3].isNotNull()).groupBy("episode_path").agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.avg(m[0]), 5).alias("forward_x"), F.round(F.avg(m[4]), 5).alias("side_y"), F.round(F.avg(m[8]), 5).alias("up_z")
+    )
+
+
 def queries() -> dict:
     return R.queries
 
