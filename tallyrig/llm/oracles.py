@@ -1,5 +1,8 @@
 """SQL for DuckDB that gives what the queries of this folder give."""
 
+from tallyrig.plans.base import SQL as EPISODES
+from tallyrig.plans.base import metric
+
 _P2 = r"""
 WITH f AS (
   SELECT episode_path, modality, row_idx AS frame_row_idx, min(timestamp_ms) AS t FROM frame_times
@@ -51,3 +54,16 @@ SQL: dict[str, str] = {
         having="",
     ),
 }
+
+
+def percentiles(metrics: list[str], quantiles: list[float]) -> str:
+    """SQL of the exact percentiles of each metric per robot."""
+    values = " UNION ALL ".join(
+        f"SELECT coalesce(robot, '(unknown)') AS robot, '{m}' AS metric, {metric(m)} AS value FROM ep" for m in metrics
+    )
+    each = " UNION ALL ".join(
+        f"SELECT robot, metric, CAST({q} AS DOUBLE) AS quantile, count(*) AS n, round(quantile_cont(value, {q}), 6) AS value"
+        " FROM v WHERE value IS NOT NULL GROUP BY 1, 2"
+        for q in quantiles
+    )
+    return f"{EPISODES}, v AS ({values}) {each}"

@@ -149,4 +149,4 @@ def queries() -> dict:
 def oracle_sql() -> dict:
     from tallyrig.llm import oracles
 
-    return oracles.SQL
+    return oracles.SQL | {"p5_percentiles": oracles.percentiles(METRICS, QUANTILES)}
