@@ -84,7 +84,9 @@ def _p3(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     )
     # Text such as nan, and values out of all proportion (over a day), are no durations.
     good = F.col("__d").isNotNull() & ~F.isnan("__d") & (F.col("__d") > 0) & (F.col("__d") <= 86400)
-    episodes = episodes.select("episode_path", key, F.when(good, F.col("__d")).alias("duration"))
+    # Whole milliseconds, so that sums do not depend on the order of rows.
+    duration = F.when(good, F.round(F.col("__d") * 1000).cast("long"))
+    episodes = episodes.select("episode_path", key, duration.alias("duration"))
     episodes = episodes.withColumn("timed", F.col("duration").isNotNull().cast("int"))
     findings = (
         table(spark, sf_dir, "findings")
@@ -114,8 +116,8 @@ def _p3(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
         zero("sum_flagged_count").alias("flagged_findings"),
         zero("sum_flagged").alias("flagged_episodes"),
         F.round(zero("sum_flagged") / F.col("n_left"), 6).alias("flagged_share"),
-        F.round("sum_duration", 3).alias("duration_seconds"),
-        F.round(F.col("sum_duration") / F.nullif(F.col("sum_timed"), F.lit(0)), 3).alias("mean_duration"),
+        F.round(F.col("sum_duration") / 1000, 3).alias("duration_seconds"),
+        F.round(F.col("sum_duration") / F.nullif(F.col("sum_timed"), F.lit(0)) / 1000, 6).alias("mean_duration"),
     )
 
 
@@ -277,15 +279,15 @@ _P3 = (
   SELECT episode_path, task, robot,
     CASE WHEN json_valid(metrics) THEN try_cast(json_extract_string(metrics, '$.p2_duration_seconds') AS DOUBLE) END AS x
   FROM clean
-), t AS (SELECT *, CASE WHEN x > 0 AND x <= 86400 THEN x END AS duration FROM d),
+), t AS (SELECT *, CASE WHEN x > 0 AND x <= 86400 THEN CAST(round(x * 1000) AS BIGINT) END AS duration FROM d),
 f AS (SELECT episode_path, count(*) AS n, count(*) FILTER (WHERE status <> 'pass') AS flagged FROM (
   SELECT id, min(episode_path) AS episode_path, max(status) AS status FROM findings GROUP BY id) GROUP BY 1)
 SELECT {key}, count(*) AS episodes, CAST(coalesce(sum(n), 0) AS BIGINT) AS findings,
   CAST(coalesce(sum(flagged), 0) AS BIGINT) AS flagged_findings,
   count(*) FILTER (WHERE flagged > 0) AS flagged_episodes,
   round(count(*) FILTER (WHERE flagged > 0) / count(*), 6) AS flagged_share,
-  round(sum(duration), 3) AS duration_seconds,
-  round(sum(duration) / nullif(count(duration), 0), 3) AS mean_duration
+  round(sum(duration) / 1000, 3) AS duration_seconds,
+  round(sum(duration) / nullif(count(duration), 0) / 1000, 6) AS mean_duration
 FROM t LEFT JOIN f USING (episode_path) GROUP BY {key}
 """
 )
