@@ -49,6 +49,20 @@ def with_previous(
     return out.drop("__c", "__k", *[f"__b_{c}" for c in columns])
 
 
+def with_last_known(df: DataFrame, keys: list[str], order: str, columns: list[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Adds ``prev_<column>``, the last value before each row that is not null.
+
+    Columns are looked up each for itself, so one sort serves all of them.
+    """
+    base = _chunked(df, keys, order, chunk_rows)
+    by = Window.partitionBy(*keys, "__c").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    line = Window.partitionBy(*keys).orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
+    ends = base.groupBy(*keys, "__c").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"__e_{c}") for c in columns])
+    ends = ends.select(*keys, "__c", *[F.last(f"__e_{c}", True).over(line).alias(f"__b_{c}") for c in columns])
+    inside = base.select("*", *[F.last(c, True).over(by).alias(f"__p_{c}") for c in columns]).join(ends, [*keys, "__c"])
+    return inside.select(*df.columns, *[F.coalesce(f"__p_{c}", f"__b_{c}").alias(f"prev_{c}") for c in columns])
+
+
 def running_sum(
     df: DataFrame, keys: list[str], order: str, value: Column, name: str, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from tallyrig.functions import exprs as X
 from tallyrig.functions.text import is_fresh
-from tallyrig.operators.ordered import with_previous
+from tallyrig.operators.ordered import with_last_known
 from tallyrig.plans.base import SQL, clean_episodes, clean_findings, metric
 from tallyrig.plans.registry import Registry
 from tallyrig.plans.reports import UNKNOWN
-from tallyrig.plans.series import FRAME, frames, joints
+from tallyrig.plans.series import FRAME, JOINTS, frames, joints
 from tallyrig.session import table
 
 R = Registry()
@@ -341,29 +341,40 @@ UNION ALL SELECT episode_path, 'gripper_step_too_large', 'minor', 'needs_review'
 UNION ALL SELECT episode_path, 'gripper_mean_too_low_remap_needed', 'minor', 'needs_review' FROM a WHERE mean_g < 0.03"""
 )
 def check_phase5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Findings of the robot-state checks, from one pass over the joint rows."""
-    rows = joints(spark, sf_dir, ("j1", "gripper"))
-    pairs = with_previous(rows, ["episode_path"], "row_idx", ["timestamp_ms", "j1", "gripper"])
-    step = F.abs(F.col("j1") - F.col("prev_j1"))
+    """Findings of the robot-state checks, from one pass over the joint rows.
+
+    Every joint is judged; ``joint`` names it, null for findings of the episode.
+    A step is between readings of a joint that follow one another, whatever null,
+    NaN and infinite ones lie between.
+    """
+    known = [F.when(X.finite(F.col(j)), F.col(j)).alias(j) for j in JOINTS]
+    # The row itself is never null, so its last known value is the previous row's.
+    rows = joints(spark, sf_dir).select("episode_path", "row_idx", F.struct("timestamp_ms", "gripper").alias("row"), *known)
+    pairs = with_last_known(rows, ["episode_path"], "row_idx", ["row", *JOINTS])
+    pairs = pairs.select("*", "row.*", F.col("prev_row.timestamp_ms").alias("prev_timestamp_ms"), F.col("prev_row.gripper").alias("prev_gripper"))
     grip = F.abs(F.col("gripper") - F.col("prev_gripper"))
     most = lambda c: F.max(F.when(X.finite(c), c))
     a = pairs.groupBy("episode_path").agg(
-        F.count_if(~X.finite(F.col("j1"))).alias("bad_j1"),
+        *[F.count_if(F.col(j).isNull()).alias(f"bad_{j}") for j in JOINTS],
+        *[most(F.abs(F.col(j) - F.col(f"prev_{j}"))).alias(f"step_{j}") for j in JOINTS],
         F.count_if(~X.finite(F.col("timestamp_ms"))).alias("bad_t"),
         (F.count_if(F.col("timestamp_ms") - F.col("prev_timestamp_ms") <= 0) / F.count(F.lit(1))).alias("back"),
-        most(step).alias("step"),
         most(grip).alias("gstep"),
         F.avg(F.when(X.finite(F.col("gripper")), F.col("gripper"))).alias("mean_g"),
     )
     rules = [
-        ("joint_nan_inf", "critical", "fail", F.col("bad_j1") > 0),
-        ("timestamps_missing_or_unparseable", "major", "fail", F.col("bad_t") > 0),
-        ("timestamps_not_monotonic", "major", "fail", F.col("back") >= 0.01),
-        ("joint_step_too_large", "minor", "needs_review", F.col("step") > 0.1),
-        ("gripper_step_too_large", "minor", "needs_review", F.col("gstep") > 0.02),
-        ("gripper_mean_too_low_remap_needed", "minor", "needs_review", F.col("mean_g") < 0.03),
+        *[("joint_nan_inf", "critical", "fail", F.col(f"bad_{j}") > 0, j) for j in JOINTS],
+        ("timestamps_missing_or_unparseable", "major", "fail", F.col("bad_t") > 0, None),
+        ("timestamps_not_monotonic", "major", "fail", F.col("back") >= 0.01, None),
+        *[("joint_step_too_large", "minor", "needs_review", F.col(f"step_{j}") > 0.1, j) for j in JOINTS],
+        ("gripper_step_too_large", "minor", "needs_review", F.col("gstep") > 0.02, None),
+        ("gripper_mean_too_low_remap_needed", "minor", "needs_review", F.col("mean_g") < 0.03, None),
+    ]
+    made = [
+        F.when(hit, F.struct(F.lit(c).alias("check_name"), F.lit(v).alias("severity"), F.lit(s).alias("status"), F.lit(j).cast("string").alias("joint")))
+        for c, v, s, hit, j in rules
     ]
-    return emit(a, rules)
+    return a.select("episode_path", F.inline(F.array_compact(F.array(*made))))
 
 
 @R.add(
