@@ -9,6 +9,7 @@ from tallyrig.functions import exprs as X
 from tallyrig.functions.rotation import elements, gram_schmidt
 from tallyrig.functions.text import is_fresh
 from tallyrig.operators.ordered import islands, one_row_each, running_sum, with_halo, with_previous
+from tallyrig.operators.trajectory import SIDES
 from tallyrig.operators.trajectory import trajectory_labels as label_trajectories
 from tallyrig.plans.base import SQL, clean_episodes, metric
 from tallyrig.plans.registry import Registry
@@ -17,6 +18,7 @@ from tallyrig.session import table
 R = Registry()
 FRAME = ["episode_path", "modality"]
 JOINTS = [f"j{i}" for i in range(1, 8)]
+HAND_AXES = [f"{s}_{a}" for s in SIDES for a in "xyz"]
 _FINITE = "timestamp_ms IS NOT NULL AND isfinite(timestamp_ms)"
 _FRESH = r"lower(regexp_replace(is_new, '^\s+|\s+$', '', 'g')) IN ('1', 'true', 'yes')"
 _FRAMES = "WITH f AS (SELECT episode_path, modality, row_idx, min(timestamp_ms) AS timestamp_ms, min(is_new) AS is_new FROM frame_times GROUP BY ALL)"
@@ -40,6 +42,12 @@ def poses(spark: SparkSession, sf_dir: str, values: list[str]) -> DataFrame:
     return one_row_each(table(spark, sf_dir, "actions_eef_pose"), ["episode_path"], "row_idx", ["timestamp_ms", *values])
 
 
+def hands(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """Pose rows made one row for each side whose x, y and z are finite: ``keep, side, x, y, z``."""
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), *[F.col(f"{s}_{a}").alias(a) for a in "xyz"]) for s in SIDES])
+    return rows.select(*keep, F.inline(sides)).filter(X.finite(F.col("x")) & X.finite(F.col("y")) & X.finite(F.col("z")))
+
+
 def tier(ratio, fail: float = 0.05, review: float = 0.01):
     """The status of a share of violating rows."""
     return F.when(ratio <= 0, "pass").when(ratio >= fail, "fail").when(ratio >= review, "needs_review").otherwise("warning")
@@ -302,13 +310,13 @@ SELECT episode_path, count(*) AS rows, round(sum(d), 4) AS path_length, round(ma
   count(*) FILTER (WHERE d > 0.05) AS large_steps, round(max(d), 6) AS largest_step FROM q GROUP BY 1"""
 )
 def path_and_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Length, extent and large steps of the left hand's path."""
-    axes = ["left_x", "left_y", "left_z"]
-    rows = poses(spark, sf_dir, axes).filter(X.finite(F.col("left_x")) & X.finite(F.col("left_y")) & X.finite(F.col("left_z")) & (F.abs("left_x") < 1e6))
-    pairs = with_previous(rows, ["episode_path"], "row_idx", axes)
+    """Length, extent and large steps of each hand's path, one row an episode and side."""
+    axes, key = ["x", "y", "z"], ["episode_path", "side"]
+    rows = hands(poses(spark, sf_dir, HAND_AXES), ["episode_path", "row_idx"]).filter(F.abs("x") < 1e6)
+    pairs = with_previous(rows, key, "row_idx", axes)
     d = F.sqrt(sum(F.pow(F.col(a) - F.col(f"prev_{a}"), 2) for a in axes))
     extent = sum(F.max(a) - F.min(a) for a in axes)
-    return pairs.withColumn("d", d).groupBy("episode_path").agg(
+    return pairs.withColumn("d", d).groupBy(*key).agg(
         F.count(F.lit(1)).alias("rows"), F.round(F.sum("d"), 4).alias("path_length"), F.round(extent, 4).alias("extent"),
         F.count_if(F.col("d") > 0.05).alias("large_steps"), F.round(F.max("d"), 6).alias("largest_step"),
     )

@@ -1,11 +1,12 @@
 """Plans over series against brute force: every joint and both sides count."""
 
+import math
 import random
 
 import pytest
 
 from tallyrig.operators.ordered import with_last_known
-from tallyrig.plans import selection
+from tallyrig.plans import selection, series
 
 JOINT_SCHEMA = "episode_path string, row_idx long, timestamp_ms double, " + ", ".join(f"j{i} double" for i in range(1, 8)) + ", gripper double"
 
@@ -45,3 +46,37 @@ def test_phase5_judges_every_joint(spark, joint_folder):
     assert sorted(tuple(r) for r in found) == [
         ("e", "joint_nan_inf", "j3"), ("e", "joint_step_too_large", "j3"), ("e", "joint_step_too_large", "j7"),
     ]
+
+
+POSES = "episode_path string, row_idx long, timestamp_ms double, " + ", ".join(f"{s}_{a} double" for s in ("left", "right") for a in "xyz")
+
+
+@pytest.fixture
+def pose_folder(spark, tmp_path):
+    """Writes pose rows as a data folder."""
+
+    def write(lines):
+        spark.createDataFrame(lines, POSES).write.parquet(f"{tmp_path}/actions_eef_pose.parquet")
+        return str(tmp_path)
+
+    return write
+
+
+def test_path_of_each_side(spark, pose_folder):
+    rng = random.Random(8)
+    lines = []
+    for i in range(60):
+        right = [rng.uniform(0, 0.06) for _ in range(3)]
+        if rng.random() < 0.2:
+            right[2] = rng.choice([None, math.nan])
+        lines.append(("e", i, i * 50.0, 0.0, 0.0, 0.001 * i, *right))
+    out = {r["side"]: r for r in series.path_and_steps(spark, pose_folder(lines)).collect()}
+    assert set(out) == {"left", "right"}
+    for side, at in (("left", 3), ("right", 6)):
+        line = [x[at : at + 3] for x in lines if all(v is not None and not math.isnan(v) for v in x[at : at + 3])]
+        steps = [math.dist(a, b) for a, b in zip(line, line[1:])]
+        r = out[side]
+        assert r["rows"] == len(line) and r["large_steps"] == sum(d > 0.05 for d in steps)
+        assert r["path_length"] == pytest.approx(sum(steps), abs=1e-4) and r["largest_step"] == pytest.approx(max(steps), abs=1e-6)
+        assert r["extent"] == pytest.approx(sum(max(c) - min(c) for c in zip(*line)), abs=1e-4)
+    assert out["left"]["large_steps"] == 0 < out["right"]["large_steps"]
