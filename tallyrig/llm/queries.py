@@ -16,7 +16,7 @@ from tallyrig.llm.splits import grouped_split
 from tallyrig.plans.dealt import latest_episodes
 from tallyrig.session import table, written
 
-#: Problem 5: the numbers of episodes.metrics and the percentiles taken of them.
+#: Problem 5: the numbers of episodes.metrics in the SQL, which names them (the queries take all), and the percentiles.
 METRICS = ["p2_duration_seconds", "p3_left_wrist_view_drop_ratio", "p5_max_velocity", "p5_jitter_score"]
 QUANTILES = [0.01, 0.25, 0.5, 0.75, 0.9, 0.99]
 #: Problem 6: the stated proportions.
@@ -41,11 +41,11 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``robot, date, metric, value``: the readable numbers of each current episode."""
-    episodes = latest_episodes(spark, sf_dir)
-    number = lambda m: F.expr(f"try_cast(get_json_object(metrics, '$.{m}') as double)")
-    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), number(m).alias("value")) for m in METRICS])
-    return episodes.select(F.coalesce("robot", F.lit("(unknown)")).alias("robot"), "date", F.inline(pairs))
+    """``robot, date, metric, value``: every key of each current episode's metrics that reads as a number."""
+    each = F.explode(F.map_entries(F.from_json("metrics", "map<string,string>")))
+    rows = latest_episodes(spark, sf_dir).select(F.coalesce("robot", F.lit("(unknown)")).alias("robot"), "date", each.alias("e"))
+    value = F.col("e.value").try_cast("double")
+    return rows.select("robot", "date", F.col("e.key").alias("metric"), value.alias("value")).filter(value.isNotNull())
 
 
 def p5_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
