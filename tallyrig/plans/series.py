@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyrig.functions import exprs as X
 from tallyrig.functions.rotation import elements, gram_schmidt
 from tallyrig.functions.text import is_fresh
-from tallyrig.operators.ordered import islands, one_row_each, running_sum, with_halo, with_previous
+from tallyrig.operators.ordered import islands, one_row_each, running_sum, with_halo, with_last_known, with_previous
 from tallyrig.operators.trajectory import SIDES
 from tallyrig.operators.trajectory import trajectory_labels as label_trajectories
 from tallyrig.plans.base import SQL, clean_episodes, metric
@@ -37,6 +37,12 @@ def joints(spark: SparkSession, sf_dir: str, values: tuple = (*JOINTS, "gripper"
     return one_row_each(table(spark, sf_dir, "state_joint_position"), ["episode_path"], "row_idx", ["timestamp_ms", *values])
 
 
+def each_joint(rows: DataFrame) -> DataFrame:
+    """Joint rows made one row for each finite reading: ``episode_path, joint, row_idx, v``."""
+    pairs = F.array(*[F.struct(F.lit(j).alias("joint"), F.col(j).alias("v")) for j in JOINTS])
+    return rows.select("episode_path", "row_idx", F.inline(pairs)).filter(X.finite(F.col("v")))
+
+
 def poses(spark: SparkSession, sf_dir: str, values: list[str]) -> DataFrame:
     """Pose rows, each once."""
     return one_row_each(table(spark, sf_dir, "actions_eef_pose"), ["episode_path"], "row_idx", ["timestamp_ms", *values])
@@ -258,14 +264,19 @@ a AS (SELECT episode_path, avg(abs(d)) AS j FROM r GROUP BY 1)
 SELECT episode_path, round(j, 6) AS jitter, CASE WHEN j >= 0.05 THEN 'fail' WHEN j >= 0.01 THEN 'warning' ELSE 'pass' END AS status FROM a"""
 )
 def jitter_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean distance of joint 1 from its centred moving average of five rows."""
-    rows = joints(spark, sf_dir, ("j1",)).filter(X.finite(F.col("j1"))).select("episode_path", "row_idx", "j1")
-    near = with_halo(rows, ["episode_path"], "row_idx", halo=2)
-    by = Window.partitionBy("episode_path", "__c").orderBy("row_idx").rowsBetween(-2, 2)
-    off = near.withColumn("d", F.abs(F.col("j1") - F.avg("j1").over(by))).filter("__native")
+    """Mean distance of each joint from its centred moving average of five readings.
+
+    Chunks are cut by a reading's place among its joint's finite ones, so the
+    neighbours of a row at a border are in its halo whatever rows lack a value.
+    """
+    key = ["episode_path", "joint"]
+    placed = running_sum(each_joint(joints(spark, sf_dir, JOINTS)), key, "row_idx", F.lit(1), "place")
+    near = with_halo(placed.select(*key, "place", "v"), key, "place", halo=2)
+    by = Window.partitionBy(*key, "__c").orderBy("place").rowsBetween(-2, 2)
+    off = near.withColumn("d", F.abs(F.col("v") - F.avg("v").over(by))).filter("__native")
     j = F.col("jitter")
-    return off.groupBy("episode_path").agg(F.avg("d").alias("jitter")).select(
-        "episode_path", F.round(j, 6).alias("jitter"), F.when(j >= 0.05, "fail").when(j >= 0.01, "warning").otherwise("pass").alias("status")
+    return off.groupBy(*key).agg(F.avg("d").alias("jitter")).select(
+        *key, F.round(j, 6).alias("jitter"), F.when(j >= 0.05, "fail").when(j >= 0.01, "warning").otherwise("pass").alias("status")
     )
 
 
@@ -276,13 +287,16 @@ def jitter_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT episode_path, count(*) AS steps, round(quantile_cont(abs(v), 0.99), 4) AS p99_velocity, round(max(abs(v)), 4) AS max_velocity, quantile_cont(abs(v), 0.99) > 3.0 AS exceeded FROM v WHERE dt > 0 GROUP BY 1"""
 )
 def velocity_p99(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 99th percentile of joint 1's speed between rows whose time rises."""
-    rows = joints(spark, sf_dir, ("j1",)).filter(X.finite(F.col("j1")) & X.finite(F.col("timestamp_ms")))
-    pairs = with_previous(rows, ["episode_path"], "row_idx", ["timestamp_ms", "j1"])
-    dt = (F.col("timestamp_ms") - F.col("prev_timestamp_ms")) / 1000.0
-    speeds = pairs.filter(dt > 0).select("episode_path", F.abs((F.col("j1") - F.col("prev_j1")) / dt).alias("v"))
-    out = speeds.groupBy("episode_path").agg(F.count(F.lit(1)).alias("steps"), F.expr("percentile(v, 0.99)").alias("p"), F.max("v").alias("m"))
-    return out.select("episode_path", "steps", F.round("p", 4).alias("p99_velocity"), F.round("m", 4).alias("max_velocity"), (F.col("p") > 3.0).alias("exceeded"))
+    """The 99th percentile of each joint's speed between its readings whose time rises."""
+    rows = joints(spark, sf_dir, JOINTS).filter(X.finite(F.col("timestamp_ms")))
+    readings = [F.when(X.finite(F.col(j)), F.struct(F.col("timestamp_ms").alias("t"), F.col(j).alias("v"))).alias(j) for j in JOINTS]
+    pairs = with_last_known(rows.select("episode_path", "row_idx", *readings), ["episode_path"], "row_idx", JOINTS)
+    dt = lambda j: (F.col(f"{j}.t") - F.col(f"prev_{j}.t")) / 1000.0
+    speed = lambda j: F.when(dt(j) > 0, F.abs((F.col(f"{j}.v") - F.col(f"prev_{j}.v")) / dt(j)))
+    made = F.array(*[F.struct(F.lit(j).alias("joint"), speed(j).alias("v")) for j in JOINTS])
+    speeds = pairs.select("episode_path", F.inline(made)).filter("v IS NOT NULL")
+    out = speeds.groupBy("episode_path", "joint").agg(F.count(F.lit(1)).alias("steps"), F.expr("percentile(v, 0.99)").alias("p"), F.max("v").alias("m"))
+    return out.select("episode_path", "joint", "steps", F.round("p", 4).alias("p99_velocity"), F.round("m", 4).alias("max_velocity"), (F.col("p") > 3.0).alias("exceeded"))
 
 
 _BOUND = 1.0
@@ -411,12 +425,13 @@ q AS (SELECT *, coalesce(raw + 180 - 360 * floor((raw + 180) / 360) - 180, deg)
 SELECT episode_path, round(max(c) - min(c), 4) AS swept_degrees, round(arg_max(c, row_idx), 4) AS last_angle FROM (SELECT *, sum(step) OVER (PARTITION BY episode_path ORDER BY row_idx) AS c FROM q) GROUP BY 1"""
 )
 def unwrap_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Angles made continuous over full turns."""
-    rows = joints(spark, sf_dir, ("j1",)).filter(X.finite(F.col("j1"))).select("episode_path", "row_idx", (F.degrees("j1") * 4).alias("deg"))
-    pairs = with_previous(rows, ["episode_path"], "row_idx", ["deg"])
+    """Angles of each joint made continuous over full turns."""
+    key = ["episode_path", "joint"]
+    rows = each_joint(joints(spark, sf_dir, JOINTS)).select(*key, "row_idx", (F.degrees("v") * 4).alias("deg"))
+    pairs = with_previous(rows, key, "row_idx", ["deg"])
     step = F.pmod(F.col("deg") - F.col("prev_deg") + 180, F.lit(360.0)) - 180
-    turned = running_sum(pairs, ["episode_path"], "row_idx", F.coalesce(step, F.col("deg")), "c")
-    return turned.groupBy("episode_path").agg(
+    turned = running_sum(pairs, key, "row_idx", F.coalesce(step, F.col("deg")), "c")
+    return turned.groupBy(*key).agg(
         F.round(F.max("c") - F.min("c"), 4).alias("swept_degrees"), F.round(F.max_by("c", "row_idx"), 4).alias("last_angle")
     )
 

@@ -80,3 +80,38 @@ def test_path_of_each_side(spark, pose_folder):
         assert r["path_length"] == pytest.approx(sum(steps), abs=1e-4) and r["largest_step"] == pytest.approx(max(steps), abs=1e-6)
         assert r["extent"] == pytest.approx(sum(max(c) - min(c) for c in zip(*line)), abs=1e-4)
     assert out["left"]["large_steps"] == 0 < out["right"]["large_steps"]
+
+
+def test_every_joint_has_its_jitter_speed_and_turn(spark, joint_folder, monkeypatch):
+    # Chunks of 16 rows, so that missing readings lie about their borders.
+    near, last, run = series.with_halo, series.with_last_known, series.running_sum
+    monkeypatch.setattr(series, "with_halo", lambda *a, **k: near(*a, **({"chunk": 16} | k)))
+    monkeypatch.setattr(series, "with_last_known", lambda *a, **k: last(*a, **({"chunk_rows": 16} | k)))
+    monkeypatch.setattr(series, "running_sum", lambda *a, **k: run(*a, **({"chunk_rows": 16} | k)))
+    rng = random.Random(6)
+    lines = []
+    for i in range(100):
+        j = [0.0, *[None if rng.random() < 0.3 else rng.uniform(-1, 1) * (0.01 if k < 4 else 1) for k in range(6)]]
+        lines.append(("e", i, 20.0 * i, *j, 0.05))
+    folder = joint_folder(lines)
+    read = {f"j{k}": [(r[2], r[2 + k]) for r in lines if r[2 + k] is not None] for k in range(1, 8)}
+    jitter = {r["joint"]: r for r in series.jitter_score(spark, folder).collect()}
+    speeds = {r["joint"]: r for r in series.velocity_p99(spark, folder).collect()}
+    turns = {r["joint"]: r for r in series.unwrap_degrees(spark, folder).collect()}
+    assert set(jitter) == set(speeds) == set(turns) == set(read)
+    for j, line in read.items():
+        v = [x for _, x in line]
+        off = [abs(x - sum(w) / len(w)) for k, x in enumerate(v) for w in [v[max(0, k - 2) : k + 3]]]
+        assert jitter[j]["jitter"] == pytest.approx(sum(off) / len(off), abs=1e-6)
+        s = sorted(abs(b - a) / ((u - t) / 1000) for (t, a), (u, b) in zip(line, line[1:]))
+        at = 0.99 * (len(s) - 1)
+        p99 = s[int(at)] + (at - int(at)) * (s[min(int(at) + 1, len(s) - 1)] - s[int(at)])
+        assert speeds[j]["steps"] == len(s) and speeds[j]["p99_velocity"] == pytest.approx(p99, abs=1e-4)
+        assert speeds[j]["exceeded"] == (p99 > 3)
+        angle, c = math.degrees(v[0]) * 4, [math.degrees(v[0]) * 4]
+        for a, b in zip(v, v[1:]):
+            angle += (math.degrees(b) * 4 - math.degrees(a) * 4 + 180) % 360 - 180
+            c.append(angle)
+        assert turns[j]["swept_degrees"] == pytest.approx(max(c) - min(c), abs=1e-3) and turns[j]["last_angle"] == pytest.approx(c[-1], abs=1e-3)
+    assert not speeds["j1"]["exceeded"] and speeds["j7"]["exceeded"]
+    assert jitter["j1"]["status"] == "pass" and jitter["j7"]["status"] == "fail"
