@@ -361,18 +361,20 @@ i AS (SELECT *, count(*) FILTER (WHERE new) OVER (PARTITION BY episode_path ORDE
 SELECT episode_path, min(t) AS start_ms, max(t) AS end_ms, count(*) AS fast_rows FROM i GROUP BY episode_path, session"""
 )
 def session_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fast moves merged into one while less than half a second apart.
+    """Fast moves of each hand merged into one while less than half a second apart.
 
     Fast rows are few; they are chunked by their time.
     """
-    rows = poses(spark, sf_dir, ["left_x"]).filter(X.finite(F.col("left_x")) & X.finite(F.col("timestamp_ms")))
-    pairs = with_previous(rows, ["episode_path"], "row_idx", ["left_x"])
-    fast = pairs.filter(F.abs(F.col("left_x") - F.col("prev_left_x")) > 0.01).select("episode_path", "row_idx", F.col("timestamp_ms").alias("t"))
+    axes, key = ["x", "y", "z"], ["episode_path", "side"]
+    rows = hands(poses(spark, sf_dir, HAND_AXES).filter(X.finite(F.col("timestamp_ms"))), ["episode_path", "row_idx", "timestamp_ms"])
+    pairs = with_previous(rows, key, "row_idx", axes)
+    d = F.sqrt(sum(F.pow(F.col(a) - F.col(f"prev_{a}"), 2) for a in axes))
+    fast = pairs.filter(d > 0.01).select(*key, "row_idx", F.col("timestamp_ms").alias("t"))
     # A total order over time, then row.
-    moments = fast.groupBy("episode_path", "t").agg(F.count(F.lit(1)).alias("n"))
-    gaps = with_previous(moments, ["episode_path"], "t", ["t"], chunk_rows=600_000)
-    opened = islands(gaps, ["episode_path"], "t", F.coalesce(F.col("t") - F.col("prev_t") >= 500, F.lit(True)), chunk_rows=600_000)
-    return opened.groupBy("episode_path", "island").agg(
+    moments = fast.groupBy(*key, "t").agg(F.count(F.lit(1)).alias("n"))
+    gaps = with_previous(moments, key, "t", ["t"], chunk_rows=600_000)
+    opened = islands(gaps, key, "t", F.coalesce(F.col("t") - F.col("prev_t") >= 500, F.lit(True)), chunk_rows=600_000)
+    return opened.groupBy(*key, "island").agg(
         F.min("t").alias("start_ms"), F.max("t").alias("end_ms"), F.sum("n").alias("fast_rows")
     ).drop("island")
 
@@ -383,15 +385,18 @@ q AS (SELECT *, first_value(x) OVER (PARTITION BY episode_path ORDER BY ms RANGE
 SELECT episode_path, count(*) AS moments, round(max(abs(x - x0)), 6) AS largest, count(*) FILTER (WHERE abs(x - x0) > 0.35) AS jumps FROM q GROUP BY 1"""
 )
 def trailing_displacement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How far the left hand gets within half a second."""
+    """How far each hand gets within half a second, in space; of rows in one millisecond the first counts."""
+    key = ["episode_path", "side"]
     rows = table(spark, sf_dir, "actions_eef_pose").filter(
-        X.finite(F.col("left_x")) & X.finite(F.col("timestamp_ms")) & (F.abs("timestamp_ms") < 1e12) & F.col("episode_path").isNotNull()
+        X.finite(F.col("timestamp_ms")) & (F.abs("timestamp_ms") < 1e12) & F.col("episode_path").isNotNull()
     )
-    rows = rows.groupBy("episode_path", F.floor("timestamp_ms").alias("ms")).agg(F.min("left_x").alias("x"))
-    near = with_halo(rows, ["episode_path"], "ms", halo=500, chunk=300_000)
-    by = Window.partitionBy("episode_path", "__c").orderBy("ms").rangeBetween(-500, 0)
-    moved = near.withColumn("d", F.abs(F.col("x") - F.first("x").over(by))).filter("__native")
-    return moved.groupBy("episode_path").agg(
+    rows = hands(rows, ["episode_path", "row_idx", F.floor("timestamp_ms").alias("ms")])
+    rows = rows.groupBy(*key, "ms").agg(F.min(F.struct("row_idx", "x", "y", "z")).alias("p"))
+    near = with_halo(rows, key, "ms", halo=500, chunk=300_000)
+    by = Window.partitionBy(*key, "__c").orderBy("ms").rangeBetween(-500, 0)
+    d = F.sqrt(sum(F.pow(F.col(f"p.{a}") - F.col(f"then.{a}"), 2) for a in "xyz"))
+    moved = near.withColumn("then", F.first("p").over(by)).withColumn("d", d).filter("__native")
+    return moved.groupBy(*key).agg(
         F.count(F.lit(1)).alias("moments"), F.round(F.max("d"), 6).alias("largest"), F.count_if(F.col("d") > 0.35).alias("jumps")
     )
 

@@ -115,3 +115,34 @@ def test_every_joint_has_its_jitter_speed_and_turn(spark, joint_folder, monkeypa
         assert turns[j]["swept_degrees"] == pytest.approx(max(c) - min(c), abs=1e-3) and turns[j]["last_angle"] == pytest.approx(c[-1], abs=1e-3)
     assert not speeds["j1"]["exceeded"] and speeds["j7"]["exceeded"]
     assert jitter["j1"]["status"] == "pass" and jitter["j7"]["status"] == "fail"
+
+
+def test_displacement_and_sessions_of_both_hands(spark, pose_folder):
+    # The left hand moves along z, the right one slantwise; x alone never passes a bound.
+    rng = random.Random(4)
+    lines, left, right = [], [0.0] * 3, [0.0] * 3
+    for i in range(120):
+        if rng.random() < 0.1:
+            left[2] += rng.choice([-0.4, 0.4])
+        if rng.random() < 0.1:
+            right = [v + rng.choice([-0.009, 0.009, 0.25]) for v in right]
+            right[0] = 0.0
+        lines.append(("e", i, 100.0 * i, *left, *(right if i % 17 else (None, *right[1:]))))
+    folder = pose_folder(lines)
+    moved = {r["side"]: r for r in series.trailing_displacement(spark, folder).collect()}
+    found = sorted((r["side"], r["start_ms"], r["end_ms"], r["fast_rows"]) for r in series.session_merge(spark, folder).collect())
+    sessions = []
+    for side, at in (("left", 3), ("right", 6)):
+        line = [(x[2], x[at : at + 3]) for x in lines if x[at] is not None]
+        far = [math.dist(p, next(q for u, q in line if t - u <= 500)) for t, p in line]
+        r = moved[side]
+        assert r["moments"] == len(line) and r["jumps"] == sum(d > 0.35 for d in far) > 0
+        assert r["largest"] == pytest.approx(max(far), abs=1e-6)
+        runs = []
+        for t in [t for (_, a), (t, b) in zip(line, line[1:]) if math.dist(a, b) > 0.01]:
+            if runs and t - runs[-1][1] < 500:
+                runs[-1][1:] = [t, runs[-1][2] + 1]
+            else:
+                runs.append([t, t, 1])
+        sessions += [(side, *x) for x in runs]
+    assert found == sorted(sessions)
