@@ -409,7 +409,7 @@ x AS (SELECT g.*, CAST(floor((gap + 0.25 * period) / period) AS BIGINT) - 1 AS m
 SELECT episode_path, modality, count(*) AS gaps, CAST(sum(missing) AS BIGINT) AS missing_frames, max(missing) AS longest FROM x WHERE missing > 0 AND gap < 30000 GROUP BY 1, 2"""
 )
 def missing_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frames that gaps in fresh times suggest are missing."""
+    """Frames that gaps in fresh times, however long, suggest are missing."""
     rows = table(spark, sf_dir, "frame_times").filter(
         is_fresh(F.col("is_new"), F.col("timestamp_ms")) & X.finite(F.col("timestamp_ms")) & F.col("episode_path").isNotNull() & F.col("modality").isNotNull()
     )
@@ -417,7 +417,7 @@ def missing_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     gaps = with_previous(times, FRAME, "t", ["t"], chunk_rows=300_000).withColumn("gap", F.col("t") - F.col("prev_t"))
     period = gaps.groupBy(*FRAME).agg(F.median("gap").alias("period")).filter("period > 0")
     missing = F.floor((F.col("gap") + 0.25 * F.col("period")) / F.col("period")) - 1
-    return gaps.join(period, FRAME).withColumn("missing", missing).filter("missing > 0 AND gap < 30000").groupBy(*FRAME).agg(
+    return gaps.join(period, FRAME).withColumn("missing", missing).filter("missing > 0").groupBy(*FRAME).agg(
         F.count(F.lit(1)).alias("gaps"), F.sum("missing").alias("missing_frames"), F.max("missing").alias("longest")
     )
 

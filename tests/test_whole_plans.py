@@ -146,3 +146,11 @@ def test_displacement_and_sessions_of_both_hands(spark, pose_folder):
                 runs.append([t, t, 1])
         sessions += [(side, *x) for x in runs]
     assert found == sorted(sessions)
+
+
+def test_long_outages_count_as_missing(spark, tmp_path):
+    times = [50.0 * i for i in range(20)] + [950.0 + 40_000.0 + 50.0 * i for i in range(20)]
+    lines = [("e", "wrist", i, t, "1") for i, t in enumerate(times)]
+    spark.createDataFrame(lines, "episode_path string, modality string, row_idx long, timestamp_ms double, is_new string").write.parquet(f"{tmp_path}/frame_times.parquet")
+    r = series.missing_inferred(spark, str(tmp_path)).collect()[0]
+    assert (r["gaps"], r["missing_frames"], r["longest"]) == (1, 799, 799)
