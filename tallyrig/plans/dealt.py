@@ -12,8 +12,9 @@ from tallyrig.operators.spikes import SpikeRule, implausible_readings
 from tallyrig.session import table
 
 POSE, JOINT = "actions.eef_pose", "observation.state.joint_position"
-#: Fixed values of TESTDATA.md, problem 1.
-POSE_RULE = SpikeRule(factor=10, held_rows=8, low=-2.0, high=2.0)
+#: Fixed values of TESTDATA.md, problem 1.  A pose is compared with the five readings before and the five after it;
+#: a time with the readings around it, so that the last one before a silence and the first one after it are no cases.
+POSE_RULE = SpikeRule(factor=10, held_rows=8, low=-2.0, high=2.0, own=False)
 TIME_RULE = SpikeRule(factor=20, held_rows=4, low=0.0, high=float("inf"))
 RULES = {f"{POSE}|left_x": POSE_RULE, f"{POSE}|right_z": POSE_RULE, f"{JOINT}|timestamp_ms": TIME_RULE}
 
@@ -237,7 +238,7 @@ WITH r AS (
 ), o AS (
   SELECT *, lag(v) OVER w AS prev, row_number() OVER w AS rn,
          count(*) OVER (PARTITION BY stream, field, episode_path) AS n,
-         list_sort(list(v) OVER (w ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING)) AS around
+         list(v) OVER (w ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS five, list(v) OVER (w ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING) AS next_five
   FROM r WINDOW w AS (PARTITION BY stream, field, episode_path ORDER BY row_idx)
 ), e AS (
   SELECT *, CASE WHEN abs(v) < 'infinity' OR abs(prev) < 'infinity' THEN abs(v - prev) END AS d,
@@ -245,11 +246,12 @@ WITH r AS (
   FROM o
 ), s AS (SELECT stream, field, episode_path, median(d) AS step FROM e GROUP BY ALL),
 l AS (
-  SELECT *, count(*) OVER (PARTITION BY stream, field, episode_path, run) AS held_for, around[len(around) // 2 + 1] AS level
+  SELECT *, count(*) OVER (PARTITION BY stream, field, episode_path, run) AS held_for,
+         list_median(CASE WHEN field = 'timestamp_ms' THEN list_concat(five, [v], next_five) ELSE list_concat(five, next_five) END) AS level
   FROM e
 )
 SELECT l.*,
-       CASE WHEN isinf(v) AND isinf(level) THEN false ELSE coalesce(abs(v - level) > k * step, false) END AS spike,
+       CASE WHEN isnan(v - level) THEN false ELSE coalesce(abs(v - level) > k * step, false) END AS spike,
        coalesce(v = prev, false) AND held_for >= h AS held,
        v < lo OR v > hi OR isinf(v) AS impossible
 FROM l JOIN s USING (stream, field, episode_path)
