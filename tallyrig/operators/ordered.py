@@ -6,7 +6,9 @@ one task for all rows; what crosses a chunk border is one summary a chunk.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 CHUNK_ROWS = 8192
@@ -29,24 +31,18 @@ def with_previous(
 ) -> DataFrame:
     """Adds ``prev_<column>``, the value one row earlier in the series (null in its first row).
 
-    ``keys`` and ``order`` are not null and name each row once.
+    ``keys`` and ``order`` are not null and name each row once.  Each chunk's
+    last row is found by an aggregate, and only those rows meet in one line.
     """
     base = _chunked(df, keys, order, chunk_rows)
     by = Window.partitionBy(*keys, "__c").orderBy(order)
     line = Window.partitionBy(*keys).orderBy("__c")
-    ends = base.groupBy(*keys, "__c").agg(F.max(order).alias("__last"))
-    tails = (
-        base.join(ends, [*keys, "__c"])
-        .filter(F.col(order) == F.col("__last"))
-        .select(*keys, "__c", *[F.lag(c).over(line).alias(f"__b_{c}") for c in columns])
-    )
-    out = base.withColumn("__k", F.row_number().over(by))
-    for c in columns:
-        out = out.withColumn(f"prev_{c}", F.lag(c).over(by))
-    out = out.join(tails, [*keys, "__c"], "left")
-    for c in columns:
-        out = out.withColumn(f"prev_{c}", F.when(F.col("__k") == 1, F.col(f"__b_{c}")).otherwise(F.col(f"prev_{c}")))
-    return out.drop("__c", "__k", *[f"__b_{c}" for c in columns])
+    last = F.max_by(F.struct(*[F.col(c).alias(f"__b_{c}") for c in columns]), order)
+    tails = base.groupBy(*keys, "__c").agg(last.alias("__t")).withColumn("__t", F.lag("__t").over(line)).select(*keys, "__c", "__t.*")
+    seen = base.select("*", F.row_number().over(by).alias("__k"), *[F.lag(c).over(by).alias(f"prev_{c}") for c in columns])
+    seen = seen.join(tails, [*keys, "__c"])
+    first = F.col("__k") == 1
+    return seen.select(*df.columns, *[F.when(first, F.col(f"__b_{c}")).otherwise(F.col(f"prev_{c}")).alias(f"prev_{c}") for c in columns])
 
 
 def with_last_known(df: DataFrame, keys: list[str], order: str, columns: list[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -89,13 +85,40 @@ def islands(df: DataFrame, keys: list[str], order: str, opens: Column, chunk_row
     return running_sum(df, keys, order, F.when(opens, 1).otherwise(0), "island", chunk_rows)
 
 
+def over_rows(
+    df: DataFrame, keys: list[str], order: str, make: Callable[[DataFrame, WindowSpec], DataFrame],
+    before: int, after: int, chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """What ``make`` adds over windows of at most ``before`` rows back and ``after`` rows on.
+
+    ``make`` is given rows and an ordered window over them.  It runs within each
+    chunk, and once more over the first and last ``before + after`` rows of all
+    chunks of a series; rows near a chunk's ends are taken from the second run.
+    Rows are counted, so it does not matter which values of ``order`` exist or
+    how few rows a chunk has.
+    """
+    whole = Window.partitionBy(*keys, "__c")
+    by, reach = whole.orderBy(order), before + after
+    base = _chunked(df, keys, order, chunk_rows)
+    base = base.withColumn("__k", F.row_number().over(by)).withColumn("__n", F.count(F.lit(1)).over(whole))
+    k, from_end = F.col("__k"), F.col("__n") - F.col("__k")
+    edge = (k <= before) | (from_end < after)
+    inner = make(base, by).filter(~edge)
+    rim = base.filter((k <= reach) | (from_end < reach))
+    rim = make(rim, Window.partitionBy(*keys).orderBy(order)).filter(edge)
+    return inner.unionByName(rim).drop("__c", "__k", "__n")
+
+
 def with_halo(df: DataFrame, keys: list[str], order: str, halo: float, chunk: float = CHUNK_ROWS) -> DataFrame:
-    """Rows in chunks with their neighbours: adds ``__c`` and ``__native``.
+    """Rows in chunks with what lies near them: adds ``__c`` and ``__native``.
 
-    Rows within ``halo`` of a chunk's border, in terms of ``order``, also go to
-    the chunk beyond it.  A window over ``keys + __c`` that reaches no further
-    than ``halo`` is exact for native rows.
+    Rows whose ``order`` lies within ``halo`` of a chunk's border also go to the
+    chunk beyond it.  A *range* window over ``keys + __c`` that reaches no further
+    than ``halo`` is exact for native rows; for windows that count rows use
+    ``over_rows``.  ``halo`` must not exceed ``chunk``.
     """
+    if halo > chunk:
+        raise ValueError("a halo must not be longer than a chunk")
     here = F.floor(F.col(order) / chunk)
     spread = F.array_distinct(
         F.array(here, F.floor((F.col(order) - halo) / chunk), F.floor((F.col(order) + halo) / chunk))

@@ -1,7 +1,14 @@
-"""Exact medians of groups of any size without gathering a group."""
+"""Exact order statistics and ranks of groups of any size without gathering a group.
+
+A histogram over logarithmic buckets, combined on the map side, tells in which
+buckets the wanted ranks lie; only the values of those buckets are then counted
+and ranked, each bucket by itself.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,49 +17,93 @@ BUCKETS_PER_OCTAVE = 256
 
 
 def _bucket(value: Column) -> Column:
-    """A bucket number that never falls as the (non-negative) value rises."""
-    return (
-        F.when(value <= 0, F.lit(-(2**30)))
-        .when(value == float("inf"), F.lit(2**30))
-        .otherwise(F.floor(F.log2(value) * BUCKETS_PER_OCTAVE).cast("int"))
-    )
+    """A bucket number that never falls as the value rises."""
+    size = F.floor(F.log2(F.abs(value)) * BUCKETS_PER_OCTAVE).cast("int") + 2**20  # positive for every double
+    size = F.when(F.abs(value) == float("inf"), F.lit(2**30)).otherwise(size)
+    return F.when(value == 0, 0).when(value > 0, size).otherwise(-size)
+
+
+def _counted(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``__k`` (the keys), ``__b`` (bucket), ``__v`` and its count ``__c``; null and NaN are left out.
+
+    The keys form one struct, in which nulls are equal.
+    """
+    v = F.col("__v")
+    values = df.select(F.struct(*keys).alias("__k"), F.col(value).cast("double").alias("__v")).filter(v.isNotNull() & ~F.isnan(v))
+    return values.withColumn("__b", _bucket(v))
+
+
+def _offsets(values: DataFrame) -> DataFrame:
+    """``__k, __b``, how many values lie in lower buckets (``__before``) and how many in all (``__n``)."""
+    counts = values.groupBy("__k", "__b").agg(F.count(F.lit(1)).alias("__c"))
+    group = Window.partitionBy("__k")
+    upto = group.orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    return counts.select("__k", "__b", "__c", (F.sum("__c").over(upto) - F.col("__c")).alias("__before"), F.sum("__c").over(group).alias("__n"))
+
+
+def grouped_ranks(df: DataFrame, keys: list[str], value: str, ranks: Callable[[Column], dict[str, Column]]) -> DataFrame:
+    """Order statistics per group: ``keys, n`` and one column for each wanted rank.
+
+    ``ranks`` gives, for a column with the number of a group's values, the
+    wanted places in ascending order, counted from zero, by name; places outside
+    the group give null.  Null and NaN values are ignored; a group without
+    values has no row; ties count as often as they occur; null keys are equal.
+    """
+    values = _counted(df, keys, value)
+    wanted = ranks(F.col("__n"))
+    hit = F.lit(False)
+    for place in wanted.values():
+        hit = hit | ((place >= F.col("__before")) & (place < F.col("__before") + F.col("__c")))
+    places = F.struct(*[place.cast("long").alias(name) for name, place in wanted.items()])
+    picked = _offsets(values).filter(hit).select("__k", "__b", "__before", "__n", places.alias("__at"))
+    distinct = values.groupBy("__k", "__b", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    within = Window.partitionBy("__k", "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("__before") + F.sum("__c").over(within)
+    ranked = distinct.join(picked, ["__k", "__b"]).withColumn("__upto", upto)
+
+    def at(name: str) -> Column:
+        place = F.col(f"__at.{name}")
+        return F.max(F.when((place < F.col("__upto")) & (place >= F.col("__upto") - F.col("__c")), F.col("__v"))).alias(name)
+
+    out = ranked.groupBy("__k").agg(F.max("__n").alias("n"), *[at(name) for name in wanted])
+    return out.select(*[F.col("__k")[c].alias(c) for c in keys], "n", *wanted)
+
+
+def grouped_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+    """Exact quantiles per group: ``keys, n`` and a column for each name.
+
+    A quantile lies at ``q * (n - 1)`` among the sorted values, between two of
+    them linearly.  Otherwise as ``grouped_ranks``.
+    """
+    place = lambda q, n: F.lit(float(q)) * (n - 1)
+    ends = lambda n: {
+        f"__{i}{end}": cut(place(q, n)) for i, q in enumerate(quantiles.values()) for end, cut in (("lo", F.floor), ("hi", F.ceil))
+    }
+    out = grouped_ranks(df, keys, value, ends)
+
+    def between(i: int, q: float) -> Column:
+        lo, hi, at = F.col(f"__{i}lo"), F.col(f"__{i}hi"), place(q, F.col("n"))
+        return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (at - F.floor(at)))
+
+    return out.select(*keys, "n", *[between(i, q).alias(name) for i, (name, q) in enumerate(quantiles.items())])
 
 
 def grouped_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
-    """Midpoint median of non-negative values per group: ``keys + [name]``.
+    """Midpoint median per group: ``keys + [name]``; otherwise as ``grouped_ranks``."""
+    middle = lambda n: {"__a": F.floor((n - 1) / 2), "__z": F.floor(n / 2)}
+    a, z = F.col("__a"), F.col("__z")
+    return grouped_ranks(df, keys, value, middle).select(*keys, F.when(a == z, a).otherwise((a + z) / 2).alias(name))
+
+
+def average_ranks(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """Adds the rank of ``value`` within its group, counted from one; ties share their mean rank.
 
-    First a histogram over logarithmic buckets, combined on the map side, finds
-    the bucket of each middle rank; only the values of that bucket (about a
-    thousandth of a large group) are then counted and ranked.  Null and NaN
-    values are ignored; a group without values has no row; ties count as often
-    as they occur; infinities rank last.
+    Null and NaN values have a null rank.
     """
-    values = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(
-        F.col("__v").isNotNull() & ~F.isnan("__v")
-    )
-    values = values.withColumn("__b", _bucket(F.col("__v")))
-    counts = values.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__c"))
-    upto = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        counts.withColumn("__cum", F.sum("__c").over(upto))
-        .withColumn("__n", F.sum("__c").over(Window.partitionBy(*keys)))
-        .withColumn("__lo", F.expr("(__n + 1) div 2"))
-        .withColumn("__hi", F.expr("__n div 2 + 1"))
-        .filter((F.col("__cum") >= F.col("__lo")) & (F.col("__cum") - F.col("__c") < F.col("__hi")))
-        .select(*keys, "__b", (F.col("__cum") - F.col("__c")).alias("__before"), "__lo", "__hi")
-    )
-    inside = values.groupBy(*keys, "__b", "__v").agg(F.count(F.lit(1)).alias("__c"))
-    within = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    picked = (
-        inside.join(ranked, [*keys, "__b"])
-        .withColumn("__cum", F.col("__before") + F.sum("__c").over(within))
-        .withColumn("__prev", F.col("__cum") - F.col("__c"))
-    )
-
-    def at(rank: str) -> Column:
-        return F.max(F.when((F.col("__prev") < F.col(rank)) & (F.col("__cum") >= F.col(rank)), F.col("__v")))
-
-    out = picked.groupBy(*keys).agg(at("__lo").alias("__a"), at("__hi").alias("__z"))
-    return out.select(
-        *keys, F.when(F.col("__a") == F.col("__z"), F.col("__a")).otherwise((F.col("__a") + F.col("__z")) / 2).alias(name)
-    )
+    values = _counted(df, keys, value)
+    distinct = values.groupBy("__k", "__b", "__v").agg(F.count(F.lit(1)).alias("__m"))
+    within = Window.partitionBy("__k", "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    rank = F.col("__before") + F.sum("__m").over(within) - (F.col("__m") - 1) / 2
+    ranked = distinct.join(_offsets(values), ["__k", "__b"]).select("__k", F.col("__v").alias("__x"), rank.alias(name))
+    tagged = df.withColumn("__k", F.struct(*keys)).withColumn("__x", F.col(value).cast("double"))
+    return tagged.join(ranked, ["__k", "__x"], "left").select(*df.columns, name)

@@ -15,7 +15,7 @@ CELL_MS = 10_000
 
 
 def jump_events(
-    poses: DataFrame, jump_m: float = 0.35, window_ms: int = 500, recover_ms: int = 1000, merge_ms: int = 500
+    poses: DataFrame, jump_m: float = 0.35, window_ms: int = 500, recover_ms: int = 1000, merge_ms: int = 500, chunk_ms: int = 600_000
 ) -> DataFrame:
     """Fast moves of either hand: ``episode_path, side, start_ms, end_ms, first_ms, last_ms, peak_m, recovered``.
 
@@ -41,15 +41,14 @@ def jump_events(
     def apart(a: str, b: str):
         return F.sqrt(sum((F.pow(F.col(f"{a}.{c}") - F.col(f"{b}.{c}"), 2) for c in "xyz"), F.lit(0.0)))
 
-    near = with_halo(line.withColumn("p", F.struct("x", "y", "z")), key, "ms", halo=60_000, chunk=600_000)
-    by = Window.partitionBy(*key, "__c").orderBy("ms")
-    moved = near.withColumn("then", F.first("p").over(by.rangeBetween(-window_ms, 0))).withColumn("before", F.lag("p").over(by))
-    fast = moved.filter("__native").filter(apart("p", "then") > jump_m).select(
-        *key, "ms", F.coalesce("before", "p").alias("before")
-    )
-    gaps = with_previous(fast, key, "ms", ["ms"], chunk_rows=600_000)
+    paired = with_previous(line.select(*key, "ms", F.struct("x", "y", "z").alias("p")), key, "ms", ["p"], chunk_ms)
+    near = with_halo(paired, key, "ms", halo=window_ms, chunk=chunk_ms)
+    by = Window.partitionBy(*key, "__c").orderBy("ms").rangeBetween(-window_ms, 0)
+    moved = near.withColumn("then", F.first("p").over(by)).filter("__native")
+    fast = moved.filter(apart("p", "then") > jump_m).select(*key, "ms", F.coalesce("prev_p", "p").alias("before"))
+    gaps = with_previous(fast, key, "ms", ["ms"], chunk_ms)
     runs = (
-        islands(gaps, key, "ms", F.coalesce(F.col("ms") - F.col("prev_ms") >= merge_ms, F.lit(True)), chunk_rows=600_000)
+        islands(gaps, key, "ms", F.coalesce(F.col("ms") - F.col("prev_ms") >= merge_ms, F.lit(True)), chunk_ms)
         .groupBy(*key, "island")
         .agg(F.min("ms").alias("start_ms"), F.max("ms").alias("end_ms"), F.min_by("before", "ms").alias("anchor"))
     )
@@ -76,7 +75,7 @@ def jump_events(
     )
 
 
-def trajectory_labels(poses: DataFrame, edge_ms: int = 3000) -> DataFrame:
+def trajectory_labels(poses: DataFrame, edge_ms: int = 3000, chunk_ms: int = 600_000) -> DataFrame:
     """One of five labels an episode, and what to do with it.
 
     ``smooth``, ``recoverable``, ``middle_smooth``, ``middle_recoverable`` or
@@ -84,7 +83,7 @@ def trajectory_labels(poses: DataFrame, edge_ms: int = 3000) -> DataFrame:
     interpolate, interpolate_crop or reject.  Episodes of fewer than two usable
     moments have no label.
     """
-    events = jump_events(poses)
+    events = jump_events(poses, chunk_ms=chunk_ms)
     start, end = F.col("start_ms") - F.col("first_ms"), F.col("end_ms") - F.col("first_ms")
     edge = (start <= edge_ms) | (end >= F.col("last_ms") - F.col("first_ms") - edge_ms)
     lost = ~F.col("recovered")
@@ -99,7 +98,8 @@ def trajectory_labels(poses: DataFrame, edge_ms: int = 3000) -> DataFrame:
     for s in SIDES:
         for a in "xyz":
             usable = usable & X.finite(F.col(f"{s}_{a}"))
-    there = poses.filter(usable).groupBy("episode_path").agg(F.count_distinct(F.round("timestamp_ms")).alias("moments"))
+    moments = poses.filter(usable).select("episode_path", F.round("timestamp_ms").alias("ms")).distinct()
+    there = moments.groupBy("episode_path").agg(F.count(F.lit(1)).alias("moments"))
     label = (
         F.when(F.col("events").isNull(), "smooth")
         .when(F.col("beyond"), "unrecoverable")
@@ -152,28 +152,46 @@ def pchip(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def repair_masked(
-    rows: DataFrame, keys: list[str], order: str, values: list[str], bad: str, chunk_rows: int = 8192, halo_rows: int = 512
+    rows: DataFrame, keys: list[str], order: str, values: list[str], bad: str, chunk_rows: int = 8192
 ) -> DataFrame:
     """Replaces ``values`` in rows marked ``bad`` by interpolation through the good rows.
 
-    Works in chunks of ``chunk_rows`` with ``halo_rows`` of context on both
-    sides, so a gap longer than the halo is bridged from the context there is.
-    A series without good rows keeps null.
+    Works in chunks; each also gets, of each value, the two nearest good rows
+    before and after it, however far away.  The cubic between two good rows
+    depends on no more than those, so chunks do not change the result.  A null
+    mark counts as bad; before the first and after the last good row its value
+    holds; a series without good rows gets NaN.
     """
-    near = with_halo(rows.select(*keys, order, *values, bad), keys, order, halo=halo_rows, chunk=chunk_rows)
+    at, part = F.col(order).cast("double"), [*keys, "__c"]
+    base = rows.select(*keys, order, *[F.col(v).cast("double").alias(v) for v in values], bad)
+    base = base.withColumn("__c", F.floor(F.col(order) / chunk_rows)).repartition(*part)
+    good = lambda v: F.when(~F.coalesce(F.col(bad), F.lit(True)) & X.finite(F.col(v)), F.struct(at.alias("o"), F.col(v).alias("v")))
+    # A chunk's rows bound these lists.
+    ends = base.groupBy(*part).agg(*[F.sort_array(F.collect_list(good(v))).alias(f"g{i}") for i, v in enumerate(values)])
+    for side, direction in (("b", F.asc), ("a", F.desc)):
+        line = Window.partitionBy(*keys).orderBy(direction("__c")).rowsBetween(Window.unboundedPreceding, -1)
+        near = lambda i, k: F.try_element_at(f"g{i}", F.lit(-k if side == "b" else k))  # noqa: B023,E731
+        every = range(len(values))
+        # The nearest good row beyond the chunk; then with it the one behind, which may lie in a chunk further on.
+        ends = ends.select("*", *[F.last(near(i, 1), True).over(line).alias(f"n{i}") for i in every])
+        pairs = [F.when(near(i, 1).isNotNull(), F.struct(near(i, 1).alias("p"), F.coalesce(near(i, 2), F.col(f"n{i}")).alias("q"))) for i in every]
+        ends = ends.select("*", *[F.last(pair, True).over(line).alias(f"{side}{i}") for i, pair in zip(every, pairs)]).drop(*[f"n{i}" for i in every])
+    marks = [F.col(f"{side}{i}.{k}.{c}").alias(f"{side}{i}{k}{c}") for i in range(len(values)) for side in "ba" for k in "pq" for c in "ov"]
+    context = ends.select(*part, *marks)
     columns = [*keys, order, *values, bad]
-    schema = near.select(*columns).schema
-    for v in values:
-        schema[v].dataType = near.selectExpr("double(1) AS x").schema["x"].dataType
-        schema[v].nullable = True
-
-    def fill(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(order)
-        x, mask = part[order].to_numpy(float), part[bad].fillna(True).to_numpy(bool)
-        for v in values:
-            y = part[v].to_numpy(float)
-            good = ~mask & np.isfinite(y)
-            part[v] = np.where(mask, pchip(x[good], y[good], x), y)
-        return part.loc[part["__native"], columns]
-
-    return near.groupBy(*keys, "__c").applyInPandas(fill, schema)
+
+    def fill(here: pd.DataFrame, beyond: pd.DataFrame) -> pd.DataFrame:
+        here = here.sort_values(order)
+        x, mask = here[order].to_numpy(float), here[bad].fillna(True).to_numpy(bool)
+        known = beyond.iloc[0]
+        for i, v in enumerate(values):
+            y = here[v].to_numpy(float)
+            take = ~mask & np.isfinite(y)
+            outer = [(known[f"{s}{i}{k}o"], known[f"{s}{i}{k}v"]) for s, k in ("bq", "bp", "ap", "aq")]
+            outer = [np.array([p for p in two if not pd.isna(p[0])], dtype=float).reshape(-1, 2) for two in (outer[:2], outer[2:])]
+            gx = np.concatenate([outer[0][:, 0], x[take], outer[1][:, 0]])
+            gy = np.concatenate([outer[0][:, 1], y[take], outer[1][:, 1]])
+            here[v] = np.where(mask, pchip(gx, gy, x), y)
+        return here[columns]
+
+    return base.groupBy(*part).cogroup(context.groupBy(*part)).applyInPandas(fill, base.select(*columns).schema)

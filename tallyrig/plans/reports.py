@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyrig.functions import exprs as X
+from tallyrig.operators.quantile import average_ranks, grouped_quantiles, grouped_ranks
 from tallyrig.plans.base import SQL, clean_episodes, clean_findings, metric
 from tallyrig.plans.registry import Registry
 from tallyrig.session import table
@@ -415,10 +416,12 @@ def calibration_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("p5_max_velocity", "p5_jitter_score")
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"), X.json_number(F.col("metrics"), m).alias("v")) for m in names])
     values = clean_episodes(spark, sf_dir).select(_known("robot").alias("robot"), F.inline(pairs)).filter("v IS NOT NULL")
-    p = F.expr("percentile(v, array(0.5, 0.01, 0.25, 0.75, 0.99, 0.999))")
-    out = values.groupBy("robot", "metric").agg(F.count("v").alias("n"), p.alias("p"), F.min("v").alias("least"), F.max("v").alias("greatest"))
-    at = lambda i, name, k=1.0: F.round(F.col("p")[i] * k, 6).alias(name)
-    return out.select("robot", "metric", "n", at(0, "median"), at(1, "p1"), at(2, "q1"), at(3, "q3"), at(4, "p99"), at(5, "suggested_limit", 1.2), "least", "greatest")
+    key = ["robot", "metric"]
+    places = {"median": 0.5, "p1": 0.01, "q1": 0.25, "q3": 0.75, "p99": 0.99, "top": 0.999}
+    ends = values.groupBy(*key).agg(F.min("v").alias("least"), F.max("v").alias("greatest"))
+    out = grouped_quantiles(values, key, "v", places).join(ends, key).withColumn("suggested_limit", F.col("top") * 1.2)
+    rounded = [F.round(c, 6).alias(c) for c in ("median", "p1", "q1", "q3", "p99", "suggested_limit")]
+    return out.select(*key, "n", *rounded, "least", "greatest")
 
 
 @R.add(
@@ -436,21 +439,15 @@ def tukey_iqr_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clean_episodes(spark, sf_dir).select("episode_path", "task", "robot", d.alias("duration")).filter(
         "duration IS NOT NULL AND task IS NOT NULL AND robot IS NOT NULL"
     )
-    # The halves' medians are four order statistics; distinct values are counted, not gathered.
-    counts = rows.groupBy("task", "robot", "duration").agg(F.count(F.lit(1)).alias("c"))
-    part = Window.partitionBy("task", "robot")
-    ranked = counts.withColumn("cum", F.sum("c").over(part.orderBy("duration"))).withColumn("n", F.sum("c").over(part))
-    n, half = F.col("n"), F.floor(F.col("n") / 2)
+    half = lambda n: F.floor(n / 2)
 
-    def at(rank):
-        return F.max(F.when((F.col("cum") >= rank) & (F.col("cum") - F.col("c") < rank), F.col("duration")))
+    def middle(name: str, first, count) -> dict:
+        return {f"{name}a": first + F.floor((count - 1) / 2), f"{name}z": first + F.floor(count / 2)}
 
-    def mid(first, count):
-        return (at(first + F.floor((count + 1) / 2)) + at(first + F.floor(count / 2) + 1)) / 2
-
-    groups = ranked.groupBy("task", "robot").agg(
-        F.max("n").alias("n"), mid(F.lit(0), n).alias("median"), (mid(n - half, half) - mid(F.lit(0), half)).alias("iqr")
-    )
+    # Medians of all values, of their lower and of their upper half: six places, found without gathering a group.
+    places = lambda n: middle("l", F.lit(0), half(n)) | middle("m", F.lit(0), n) | middle("u", n - half(n), half(n))
+    mid = lambda c: (F.col(f"{c}a") + F.col(f"{c}z")) / 2
+    groups = grouped_ranks(rows, ["task", "robot"], "duration", places).select("task", "robot", "n", mid("m").alias("median"), (mid("u") - mid("l")).alias("iqr"))
     groups = groups.filter("n >= 5 AND iqr > 0")
     off = F.abs(F.col("duration") - F.col("median")) / F.col("iqr")
     return rows.join(groups, ["task", "robot"]).filter(off > 3).select(
@@ -470,7 +467,7 @@ def duration_ratio_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Durations far below or above the median of their task and robot."""
     d = X.positive(X.json_number(F.col("metrics"), "p2_duration_seconds"))
     rows = clean_episodes(spark, sf_dir).select("episode_path", "task", "robot", d.alias("d")).filter("d IS NOT NULL AND task IS NOT NULL")
-    groups = rows.groupBy("task", "robot").agg(F.count(F.lit(1)).alias("n"), F.median("d").alias("med"))
+    groups = grouped_quantiles(rows, ["task", "robot"], "d", {"med": 0.5})
     groups = groups.withColumnsRenamed({"task": "gt", "robot": "gr"})
     ratio = F.col("d") / F.col("med")
     tier = F.when(ratio < 0.2, "too_short_fail").when(ratio < 0.4, "too_short_review").otherwise("too_long_review")
@@ -491,9 +488,9 @@ def fence_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each operator's durations leave their task's fences."""
     d = X.positive(X.json_number(F.col("metrics"), "p2_duration_seconds"))
     rows = clean_episodes(spark, sf_dir).select("task", _known("operator").alias("operator"), d.alias("d")).filter("d IS NOT NULL AND task IS NOT NULL")
-    fences = rows.groupBy("task").agg(F.expr("percentile(d, array(0.25, 0.75))").alias("q"))
-    spread = (F.col("q")[1] - F.col("q")[0]) * 1.5
-    unusual = (F.col("d") < F.greatest(F.lit(0.0), F.col("q")[0] - spread)) | (F.col("d") > F.col("q")[1] + spread)
+    fences = grouped_quantiles(rows, ["task"], "d", {"q1": 0.25, "q3": 0.75}).drop("n")
+    spread = (F.col("q3") - F.col("q1")) * 1.5
+    unusual = (F.col("d") < F.greatest(F.lit(0.0), F.col("q1") - spread)) | (F.col("d") > F.col("q3") + spread)
     return rows.join(fences, "task").groupBy("task", "operator").agg(
         F.count(F.lit(1)).alias("episodes"), F.count_if(unusual).alias("unusual"), F.round(F.count_if(unusual) * 100.0 / F.count(F.lit(1)), 4).alias("pct")
     )
@@ -513,12 +510,8 @@ def corr_spearman_r2(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = X.json_number(F.col("metrics"), "p5_max_velocity"), X.json_number(F.col("metrics"), "p5_jitter_score")
     rows = clean_episodes(spark, sf_dir).select("robot", a.alias("a"), b.alias("b")).filter("robot IS NOT NULL AND abs(a) < 1e6 AND abs(b) < 1e6")
 
-    def ranked(df: DataFrame, c: str) -> DataFrame:
-        tied = Window.partitionBy("robot", c)
-        rank = F.rank().over(Window.partitionBy("robot").orderBy(c)) + (F.count(F.lit(1)).over(tied) - 1) / 2.0
-        return df.withColumn(f"r{c}", rank)
-
-    out = ranked(ranked(rows, "a"), "b").groupBy("robot").agg(
+    ranked = average_ranks(average_ranks(rows, ["robot"], "a", "ra"), ["robot"], "b", "rb")
+    out = ranked.groupBy("robot").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.corr("a", "b"), 6).alias("pearson"), F.round(F.corr("ra", "rb"), 6).alias("spearman"),
         F.round(F.regr_r2("b", "a"), 6).alias("r2"), F.stddev("a").alias("sa"), F.stddev("b").alias("sb"),
     )

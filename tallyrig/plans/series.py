@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tallyrig.functions import exprs as X
 from tallyrig.functions.rotation import elements, gram_schmidt
 from tallyrig.functions.text import is_fresh
-from tallyrig.operators.ordered import islands, one_row_each, running_sum, with_halo, with_last_known, with_previous
+from tallyrig.operators.ordered import CHUNK_ROWS, islands, one_row_each, over_rows, running_sum, with_halo, with_last_known, with_previous
+from tallyrig.operators.quantile import grouped_median, grouped_quantiles
 from tallyrig.operators.trajectory import SIDES
 from tallyrig.operators.trajectory import trajectory_labels as label_trajectories
 from tallyrig.plans.base import SQL, clean_episodes, metric
@@ -23,6 +24,15 @@ _FINITE = "timestamp_ms IS NOT NULL AND isfinite(timestamp_ms)"
 _FRESH = r"lower(regexp_replace(is_new, '^\s+|\s+$', '', 'g')) IN ('1', 'true', 'yes')"
 _FRAMES = "WITH f AS (SELECT episode_path, modality, row_idx, min(timestamp_ms) AS timestamp_ms, min(is_new) AS is_new FROM frame_times GROUP BY ALL)"
 _JOINTS = "WITH s AS (SELECT episode_path, row_idx, min(timestamp_ms) AS timestamp_ms, " + ", ".join(f"min({j}) AS {j}" for j in JOINTS) + ", min(gripper) AS gripper FROM state_joint_position GROUP BY ALL)"
+_EACH = _JOINTS + ", u AS (SELECT * FROM (UNPIVOT s ON " + ", ".join(JOINTS) + " INTO NAME joint VALUE v) WHERE isfinite(v))"
+_HANDS = (
+    "WITH p AS (SELECT episode_path, row_idx, min(timestamp_ms) AS t, " + ", ".join(f"min({c}) AS {c}" for c in HAND_AXES) + " FROM actions_eef_pose GROUP BY ALL), h AS ("
+    + " UNION ALL ".join(
+        f"SELECT episode_path, row_idx, t, '{s}' AS side, {s}_x AS x, {s}_y AS y, {s}_z AS z FROM p WHERE isfinite({s}_x) AND isfinite({s}_y) AND isfinite({s}_z)"
+        for s in SIDES
+    )
+    + "), m AS (SELECT *, sqrt(power(x - lag(x) OVER w, 2) + power(y - lag(y) OVER w, 2) + power(z - lag(z) OVER w, 2)) AS d FROM h {where} WINDOW w AS (PARTITION BY episode_path, side ORDER BY row_idx))"
+)
 _W = "WINDOW w AS (PARTITION BY episode_path, modality ORDER BY row_idx)"
 _WE = "WINDOW w AS (PARTITION BY episode_path ORDER BY row_idx)"
 
@@ -67,20 +77,21 @@ a AS (SELECT episode_path, modality, count(*) AS n, count(*) FILTER (WHERE times
   count(*) - count(DISTINCT timestamp_ms) AS duplicates FROM g GROUP BY 1, 2)
 SELECT *, round(violations / n, 6) AS ratio, CASE WHEN violations = 0 THEN 'pass' WHEN violations / n >= 0.05 THEN 'fail' WHEN violations / n >= 0.01 THEN 'needs_review' ELSE 'warning' END AS status FROM a"""
 )
-def monotonic_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def monotonic_violations(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Per stream: rows whose time does not rise, equal and backward ones apart, duplicate times, and the status."""
     t, p = F.col("timestamp_ms"), F.col("prev_timestamp_ms")
     rows = frames(spark, sf_dir).filter(X.finite(t) & (F.col("is_new") == "1"))
-    rows = with_previous(rows, FRAME, "row_idx", ["timestamp_ms"])
-    out = rows.groupBy(*FRAME).agg(
+    seen = with_previous(rows, FRAME, "row_idx", ["timestamp_ms"], chunk_rows).groupBy(*FRAME).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(t <= p).alias("violations"),
         F.count_if(t == p).alias("equal_rows"),
         F.count_if(t < p).alias("backward_rows"),
         F.min_by("timestamp_ms", F.when(t <= p, F.col("row_idx"))).alias("first_violation"),
-        (F.count(F.lit(1)) - F.count_distinct("timestamp_ms")).alias("duplicates"),
     )
+    # Times are made distinct by themselves, so that no stream's times gather in a task.
+    times = rows.select(*FRAME, "timestamp_ms").distinct().groupBy(*FRAME).agg(F.count(F.lit(1)).alias("times"))
     ratio = F.col("violations") / F.col("n")
+    out = seen.join(times, FRAME).withColumn("duplicates", F.col("n") - F.col("times")).drop("times")
     return out.withColumn("status", tier(ratio)).withColumn("ratio", F.round(ratio, 6))
 
 
@@ -94,10 +105,10 @@ c AS (SELECT episode_path, modality, count(*) AS n FROM g GROUP BY 1, 2)
 SELECT episode_path, modality, n, CAST(stale AS BIGINT) AS stale, longest, round(stale / n, 6) AS drop_ratio, stale / n > 0.1 OR longest >= 25 AS flagged
 FROM l JOIN c USING (episode_path, modality)"""
 )
-def drop_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def drop_runs(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Per stream: stale frames and the longest run of them."""
     rows = frames(spark, sf_dir).withColumn("stale", ~is_fresh(F.col("is_new"), F.lit(0.0)))
-    runs = islands(rows, FRAME, "row_idx", ~F.col("stale")).groupBy(*FRAME, "island").agg(
+    runs = islands(rows, FRAME, "row_idx", ~F.col("stale"), chunk_rows).groupBy(*FRAME, "island").agg(
         F.count_if("stale").alias("len"), F.count(F.lit(1)).alias("rows")
     )
     out = runs.groupBy(*FRAME).agg(F.sum("rows").alias("n"), F.sum("len").alias("stale"), F.max("len").alias("longest"))
@@ -163,13 +174,13 @@ b AS (SELECT episode_path, min(timestamp_ms) AS first_t, max(timestamp_ms) AS la
 )
 
 
-def kept_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+def kept_rows(rows: DataFrame, keys: list[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Rows whose time is later than every earlier row's (the monotonic part of a series).
 
     The highest time before a row is the running maximum; across chunks it is
     carried by one number a chunk.
     """
-    base = rows.withColumn("__c", F.floor(F.col("row_idx") / 8192)).repartition(*keys, "__c")
+    base = rows.withColumn("__c", F.floor(F.col("row_idx") / chunk_rows)).repartition(*keys, "__c")
     by = Window.partitionBy(*keys, "__c").orderBy("row_idx").rowsBetween(Window.unboundedPreceding, -1)
     line = Window.partitionBy(*keys).orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
     tops = base.groupBy(*keys, "__c").agg(F.max("timestamp_ms").alias("__m"))
@@ -179,24 +190,33 @@ def kept_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
     return inside.join(tops, [*keys, "__c"]).filter(top.isNull() | (F.col("timestamp_ms") > top)).drop("__c", "__p", "__m")
 
 
-def still_segments(rows: DataFrame, within: float = 0.001) -> DataFrame:
-    """Stretches of kept rows in which no joint moves: ``episode_path, start_ms, end_ms, steps``."""
-    key = ["episode_path"]
-    kept = kept_rows(rows.filter(X.finite(F.col("timestamp_ms"))), key)
-    pairs = with_previous(kept, key, "row_idx", ["timestamp_ms", *JOINTS])
+def moving(within: float = 0.001):
+    """Whether any joint moved since the row before; true where one is not known."""
     still = F.lit(True)
     for j in JOINTS:
         still = still & (F.abs(F.col(j) - F.col(f"prev_{j}")) < within)
-    marked = pairs.select("episode_path", "row_idx", "timestamp_ms", "prev_timestamp_ms", F.coalesce(still, F.lit(False)).alias("still"))
+    return ~F.coalesce(still, F.lit(False))
+
+
+def still_segments(kept: DataFrame, within: float = 0.001, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Stretches of kept rows in which no joint moves: ``episode_path, start_ms, end_ms, steps``."""
+    key = ["episode_path"]
+    pairs = with_previous(kept, key, "row_idx", ["timestamp_ms", *JOINTS], chunk_rows)
+    marked = pairs.select("episode_path", "row_idx", "timestamp_ms", "prev_timestamp_ms", moving(within).alias("moving"))
     return (
-        islands(marked, key, "row_idx", ~F.col("still"))
-        .filter("still")
+        islands(marked, key, "row_idx", F.col("moving"), chunk_rows)
+        .filter("NOT moving")
         .groupBy("episode_path", "island")
         .agg(F.min("prev_timestamp_ms").alias("start_ms"), F.max("timestamp_ms").alias("end_ms"), F.count(F.lit(1)).alias("steps"))
         .drop("island")
     )
 
 
+def kept_bounds(kept: DataFrame) -> DataFrame:
+    """First and last time of each episode's kept rows."""
+    return kept.groupBy("episode_path").agg(F.min("timestamp_ms").alias("first_t"), F.max("timestamp_ms").alias("last_t"))
+
+
 @R.add(
     _KEPT
     + """SELECT seg.episode_path, a AS start_ms, z AS end_ms, steps, round(z - a, 6) AS duration_ms,
@@ -204,15 +224,13 @@ def still_segments(rows: DataFrame, within: float = 0.001) -> DataFrame:
   CASE WHEN z - a >= 30000 THEN 'fail' WHEN z - a >= 10000 THEN 'needs_review' WHEN z - a >= 5000 THEN 'warning' ELSE 'pass' END AS status
 FROM seg JOIN b USING (episode_path) WHERE steps > 0 AND z - a > 500"""
 )
-def stillness_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stillness_segments(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Standstill of more than half a second: where it is in the episode and how bad."""
-    rows = joints(spark, sf_dir)
-    bounds = rows.filter(X.finite(F.col("timestamp_ms")))
-    first = kept_rows(bounds, ["episode_path"]).groupBy("episode_path").agg(F.min("timestamp_ms").alias("first_t"), F.max("timestamp_ms").alias("last_t"))
+    kept = kept_rows(joints(spark, sf_dir).filter(X.finite(F.col("timestamp_ms"))), ["episode_path"], chunk_rows)
     d = F.col("end_ms") - F.col("start_ms")
     location = F.when(F.col("start_ms") - F.col("first_t") <= 1000, "leading").when(F.col("last_t") - F.col("end_ms") <= 1000, "trailing").otherwise("middle")
     status = F.when(d >= 30000, "fail").when(d >= 10000, "needs_review").when(d >= 5000, "warning").otherwise("pass")
-    return still_segments(rows).filter(d > 500).join(first, "episode_path").select(
+    return still_segments(kept, chunk_rows=chunk_rows).filter(d > 500).join(kept_bounds(kept), "episode_path").select(
         "episode_path", "start_ms", "end_ms", "steps", F.round(d, 6).alias("duration_ms"), location.alias("location"), status.alias("status")
     )
 
@@ -227,13 +245,11 @@ SELECT episode_path, first_t AS first_timestamp_ms, last_t AS last_timestamp_ms,
   CASE WHEN kept_a = first_t AND kept_z = last_t THEN 'no_trim' WHEN kept_z - kept_a < 5000 THEN 'reject_too_short_after_trim'
     WHEN ((kept_a - first_t) + (last_t - kept_z)) / (last_t - first_t) > 0.5 THEN 'needs_review' ELSE 'trim_candidate' END AS decision FROM x"""
 )
-def trim_plan_recomputed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trim_plan_recomputed(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """What to cut off at both ends of an episode, keeping half a second of the standstill."""
-    rows = joints(spark, sf_dir)
-    bounds = kept_rows(rows.filter(X.finite(F.col("timestamp_ms"))), ["episode_path"]).groupBy("episode_path").agg(
-        F.min("timestamp_ms").alias("first_t"), F.max("timestamp_ms").alias("last_t")
-    )
-    long = still_segments(rows).filter("end_ms - start_ms >= 5000")
+    kept = kept_rows(joints(spark, sf_dir).filter(X.finite(F.col("timestamp_ms"))), ["episode_path"], chunk_rows)
+    bounds = kept_bounds(kept)
+    long = still_segments(kept, chunk_rows=chunk_rows).filter("end_ms - start_ms >= 5000")
     joined = bounds.join(long, "episode_path", "left")
     leading = F.col("start_ms") - F.col("first_t") <= 1000
     trailing = (F.col("last_t") - F.col("end_ms") <= 1000) & ~leading
@@ -258,45 +274,44 @@ def trim_plan_recomputed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @R.add(
-    _JOINTS
-    + """, r AS (SELECT episode_path, j1 - avg(j1) OVER (PARTITION BY episode_path ORDER BY row_idx ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS d FROM s WHERE isfinite(j1)),
-a AS (SELECT episode_path, avg(abs(d)) AS j FROM r GROUP BY 1)
-SELECT episode_path, round(j, 6) AS jitter, CASE WHEN j >= 0.05 THEN 'fail' WHEN j >= 0.01 THEN 'warning' ELSE 'pass' END AS status FROM a"""
+    _EACH
+    + """, r AS (SELECT episode_path, joint, v - avg(v) OVER (PARTITION BY episode_path, joint ORDER BY row_idx ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS d FROM u),
+a AS (SELECT episode_path, joint, avg(abs(d)) AS j FROM r GROUP BY 1, 2)
+SELECT episode_path, joint, round(j, 6) AS jitter, CASE WHEN j >= 0.05 THEN 'fail' WHEN j >= 0.01 THEN 'warning' ELSE 'pass' END AS status FROM a"""
 )
-def jitter_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean distance of each joint from its centred moving average of five readings.
-
-    Chunks are cut by a reading's place among its joint's finite ones, so the
-    neighbours of a row at a border are in its halo whatever rows lack a value.
-    """
+def jitter_score(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Mean distance of each joint from its centred moving average of five finite readings."""
     key = ["episode_path", "joint"]
-    placed = running_sum(each_joint(joints(spark, sf_dir, JOINTS)), key, "row_idx", F.lit(1), "place")
-    near = with_halo(placed.select(*key, "place", "v"), key, "place", halo=2)
-    by = Window.partitionBy(*key, "__c").orderBy("place").rowsBetween(-2, 2)
-    off = near.withColumn("d", F.abs(F.col("v") - F.avg("v").over(by))).filter("__native")
+
+    def off(rows: DataFrame, by) -> DataFrame:
+        return rows.withColumn("d", F.abs(F.col("v") - F.avg("v").over(by.rowsBetween(-2, 2))))
+
+    offs = over_rows(each_joint(joints(spark, sf_dir, JOINTS)), key, "row_idx", off, 2, 2, chunk_rows)
     j = F.col("jitter")
-    return off.groupBy(*key).agg(F.avg("d").alias("jitter")).select(
+    return offs.groupBy(*key).agg(F.avg("d").alias("jitter")).select(
         *key, F.round(j, 6).alias("jitter"), F.when(j >= 0.05, "fail").when(j >= 0.01, "warning").otherwise("pass").alias("status")
     )
 
 
 @R.add(
-    _JOINTS
-    + """, v AS (SELECT episode_path, row_idx, (j1 - lag(j1) OVER w) / nullif((timestamp_ms - lag(timestamp_ms) OVER w) / 1000.0, 0) AS v, timestamp_ms - lag(timestamp_ms) OVER w AS dt
-  FROM s WHERE isfinite(timestamp_ms) AND isfinite(j1) WINDOW w AS (PARTITION BY episode_path ORDER BY row_idx))
-SELECT episode_path, count(*) AS steps, round(quantile_cont(abs(v), 0.99), 4) AS p99_velocity, round(max(abs(v)), 4) AS max_velocity, quantile_cont(abs(v), 0.99) > 3.0 AS exceeded FROM v WHERE dt > 0 GROUP BY 1"""
+    _EACH
+    + """, v AS (SELECT episode_path, joint, (v - lag(v) OVER w) / nullif((timestamp_ms - lag(timestamp_ms) OVER w) / 1000.0, 0) AS v, timestamp_ms - lag(timestamp_ms) OVER w AS dt
+  FROM u WHERE isfinite(timestamp_ms) WINDOW w AS (PARTITION BY episode_path, joint ORDER BY row_idx))
+SELECT episode_path, joint, count(*) AS steps, round(quantile_cont(abs(v), 0.99), 4) AS p99_velocity, round(max(abs(v)), 4) AS max_velocity, quantile_cont(abs(v), 0.99) > 3.0 AS exceeded FROM v WHERE dt > 0 GROUP BY 1, 2"""
 )
-def velocity_p99(spark: SparkSession, sf_dir: str) -> DataFrame:
+def velocity_p99(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """The 99th percentile of each joint's speed between its readings whose time rises."""
     rows = joints(spark, sf_dir, JOINTS).filter(X.finite(F.col("timestamp_ms")))
     readings = [F.when(X.finite(F.col(j)), F.struct(F.col("timestamp_ms").alias("t"), F.col(j).alias("v"))).alias(j) for j in JOINTS]
-    pairs = with_last_known(rows.select("episode_path", "row_idx", *readings), ["episode_path"], "row_idx", JOINTS)
+    pairs = with_last_known(rows.select("episode_path", "row_idx", *readings), ["episode_path"], "row_idx", JOINTS, chunk_rows)
     dt = lambda j: (F.col(f"{j}.t") - F.col(f"prev_{j}.t")) / 1000.0
     speed = lambda j: F.when(dt(j) > 0, F.abs((F.col(f"{j}.v") - F.col(f"prev_{j}.v")) / dt(j)))
     made = F.array(*[F.struct(F.lit(j).alias("joint"), speed(j).alias("v")) for j in JOINTS])
     speeds = pairs.select("episode_path", F.inline(made)).filter("v IS NOT NULL")
-    out = speeds.groupBy("episode_path", "joint").agg(F.count(F.lit(1)).alias("steps"), F.expr("percentile(v, 0.99)").alias("p"), F.max("v").alias("m"))
-    return out.select("episode_path", "joint", "steps", F.round("p", 4).alias("p99_velocity"), F.round("m", 4).alias("max_velocity"), (F.col("p") > 3.0).alias("exceeded"))
+    key = ["episode_path", "joint"]
+    most = speeds.groupBy(*key).agg(F.max("v").alias("m"))
+    out = grouped_quantiles(speeds, key, "v", {"p": 0.99}).join(most, key)
+    return out.select(*key, F.col("n").alias("steps"), F.round("p", 4).alias("p99_velocity"), F.round("m", 4).alias("max_velocity"), (F.col("p") > 3.0).alias("exceeded"))
 
 
 _BOUND = 1.0
@@ -317,17 +332,15 @@ def limit_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @R.add(
-    """WITH p AS (SELECT episode_path, row_idx, min(left_x) AS x, min(left_y) AS y, min(left_z) AS z FROM actions_eef_pose GROUP BY ALL),
-q AS (SELECT *, sqrt(power(x - lag(x) OVER w, 2) + power(y - lag(y) OVER w, 2) + power(z - lag(z) OVER w, 2)) AS d FROM p
-  WHERE isfinite(x) AND isfinite(y) AND isfinite(z) AND abs(x) < 1e6 WINDOW w AS (PARTITION BY episode_path ORDER BY row_idx))
-SELECT episode_path, count(*) AS rows, round(sum(d), 4) AS path_length, round(max(x) - min(x) + max(y) - min(y) + max(z) - min(z), 4) AS extent,
-  count(*) FILTER (WHERE d > 0.05) AS large_steps, round(max(d), 6) AS largest_step FROM q GROUP BY 1"""
+    _HANDS.format(where="WHERE abs(x) < 1e6")
+    + """ SELECT episode_path, side, count(*) AS rows, round(sum(d), 4) AS path_length, round(max(x) - min(x) + max(y) - min(y) + max(z) - min(z), 4) AS extent,
+  count(*) FILTER (WHERE d > 0.05) AS large_steps, round(max(d), 6) AS largest_step FROM m GROUP BY 1, 2"""
 )
-def path_and_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+def path_and_steps(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Length, extent and large steps of each hand's path, one row an episode and side."""
     axes, key = ["x", "y", "z"], ["episode_path", "side"]
     rows = hands(poses(spark, sf_dir, HAND_AXES), ["episode_path", "row_idx"]).filter(F.abs("x") < 1e6)
-    pairs = with_previous(rows, key, "row_idx", axes)
+    pairs = with_previous(rows, key, "row_idx", axes, chunk_rows)
     d = F.sqrt(sum(F.pow(F.col(a) - F.col(f"prev_{a}"), 2) for a in axes))
     extent = sum(F.max(a) - F.min(a) for a in axes)
     return pairs.withColumn("d", d).groupBy(*key).agg(
@@ -343,48 +356,49 @@ c AS (SELECT *, CASE WHEN state = lag(state) OVER w THEN 0 ELSE 1 END AS new FRO
 i AS (SELECT *, sum(new) OVER (PARTITION BY episode_path, modality ORDER BY row_idx) AS island FROM c)
 SELECT episode_path, modality, state, min(row_idx) AS first_row, max(row_idx) AS last_row, count(*) AS len FROM i GROUP BY episode_path, modality, island, state"""
 )
-def rle_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rle_segments(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Run-length encoding of fresh and stale frames."""
     rows = frames(spark, sf_dir).select(*FRAME, "row_idx", is_fresh(F.col("is_new"), F.lit(0.0)).alias("state"))
-    pairs = with_previous(rows, FRAME, "row_idx", ["state"])
-    opened = islands(pairs, FRAME, "row_idx", ~F.col("state").eqNullSafe(F.col("prev_state")))
+    pairs = with_previous(rows, FRAME, "row_idx", ["state"], chunk_rows)
+    opened = islands(pairs, FRAME, "row_idx", ~F.col("state").eqNullSafe(F.col("prev_state")), chunk_rows)
     return opened.groupBy(*FRAME, "island", "state").agg(
         F.min("row_idx").alias("first_row"), F.max("row_idx").alias("last_row"), F.count(F.lit(1)).alias("len")
     ).drop("island")
 
 
 @R.add(
-    """WITH p AS (SELECT episode_path, row_idx, min(timestamp_ms) AS t, min(left_x) AS x FROM actions_eef_pose GROUP BY ALL),
-q AS (SELECT *, abs(x - lag(x) OVER w) AS d FROM p WHERE isfinite(x) AND isfinite(t) WINDOW w AS (PARTITION BY episode_path ORDER BY row_idx)),
-h AS (SELECT episode_path, row_idx, t FROM q WHERE d > 0.01), g AS (SELECT *, coalesce(t - lag(t) OVER (PARTITION BY episode_path ORDER BY t, row_idx) >= 500, true) AS new FROM h),
-i AS (SELECT *, count(*) FILTER (WHERE new) OVER (PARTITION BY episode_path ORDER BY t, row_idx) AS session FROM g)
-SELECT episode_path, min(t) AS start_ms, max(t) AS end_ms, count(*) AS fast_rows FROM i GROUP BY episode_path, session"""
+    _HANDS.format(where="WHERE isfinite(t)")
+    + """, g AS (SELECT *, coalesce(t - lag(t) OVER (PARTITION BY episode_path, side ORDER BY t, row_idx) >= 500, true) AS new FROM m WHERE d > 0.01),
+i AS (SELECT *, count(*) FILTER (WHERE new) OVER (PARTITION BY episode_path, side ORDER BY t, row_idx) AS session FROM g)
+SELECT episode_path, side, min(t) AS start_ms, max(t) AS end_ms, count(*) AS fast_rows FROM i GROUP BY episode_path, side, session"""
 )
-def session_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+def session_merge(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS, chunk_ms: int = 600_000) -> DataFrame:
     """Fast moves of each hand merged into one while less than half a second apart.
 
     Fast rows are few; they are chunked by their time.
     """
     axes, key = ["x", "y", "z"], ["episode_path", "side"]
     rows = hands(poses(spark, sf_dir, HAND_AXES).filter(X.finite(F.col("timestamp_ms"))), ["episode_path", "row_idx", "timestamp_ms"])
-    pairs = with_previous(rows, key, "row_idx", axes)
+    pairs = with_previous(rows, key, "row_idx", axes, chunk_rows)
     d = F.sqrt(sum(F.pow(F.col(a) - F.col(f"prev_{a}"), 2) for a in axes))
     fast = pairs.filter(d > 0.01).select(*key, "row_idx", F.col("timestamp_ms").alias("t"))
     # A total order over time, then row.
     moments = fast.groupBy(*key, "t").agg(F.count(F.lit(1)).alias("n"))
-    gaps = with_previous(moments, key, "t", ["t"], chunk_rows=600_000)
-    opened = islands(gaps, key, "t", F.coalesce(F.col("t") - F.col("prev_t") >= 500, F.lit(True)), chunk_rows=600_000)
+    gaps = with_previous(moments, key, "t", ["t"], chunk_rows=chunk_ms)
+    opened = islands(gaps, key, "t", F.coalesce(F.col("t") - F.col("prev_t") >= 500, F.lit(True)), chunk_rows=chunk_ms)
     return opened.groupBy(*key, "island").agg(
         F.min("t").alias("start_ms"), F.max("t").alias("end_ms"), F.sum("n").alias("fast_rows")
     ).drop("island")
 
 
 @R.add(
-    """WITH p AS (SELECT episode_path, CAST(floor(timestamp_ms) AS BIGINT) AS ms, min(left_x) AS x FROM actions_eef_pose WHERE isfinite(left_x) AND isfinite(timestamp_ms) AND abs(timestamp_ms) < 1e12 GROUP BY 1, 2),
-q AS (SELECT *, first_value(x) OVER (PARTITION BY episode_path ORDER BY ms RANGE BETWEEN 500 PRECEDING AND CURRENT ROW) AS x0 FROM p)
-SELECT episode_path, count(*) AS moments, round(max(abs(x - x0)), 6) AS largest, count(*) FILTER (WHERE abs(x - x0) > 0.35) AS jumps FROM q GROUP BY 1"""
+    _HANDS.format(where="")
+    + """, f AS (SELECT episode_path, side, CAST(floor(t) AS BIGINT) AS ms, arg_min({'x': x, 'y': y, 'z': z}, (row_idx, x, y, z)) AS p FROM h WHERE isfinite(t) AND abs(t) < 1e12 GROUP BY 1, 2, 3),
+q AS (SELECT *, first_value(p) OVER (PARTITION BY episode_path, side ORDER BY ms RANGE BETWEEN 500 PRECEDING AND CURRENT ROW) AS p0 FROM f),
+e AS (SELECT episode_path, side, sqrt(power(p.x - p0.x, 2) + power(p.y - p0.y, 2) + power(p.z - p0.z, 2)) AS d FROM q)
+SELECT episode_path, side, count(*) AS moments, round(max(d), 6) AS largest, count(*) FILTER (WHERE d > 0.35) AS jumps FROM e GROUP BY 1, 2"""
 )
-def trailing_displacement(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trailing_displacement(spark: SparkSession, sf_dir: str, chunk_ms: int = 300_000) -> DataFrame:
     """How far each hand gets within half a second, in space; of rows in one millisecond the first counts."""
     key = ["episode_path", "side"]
     rows = table(spark, sf_dir, "actions_eef_pose").filter(
@@ -392,7 +406,7 @@ def trailing_displacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = hands(rows, ["episode_path", "row_idx", F.floor("timestamp_ms").alias("ms")])
     rows = rows.groupBy(*key, "ms").agg(F.min(F.struct("row_idx", "x", "y", "z")).alias("p"))
-    near = with_halo(rows, key, "ms", halo=500, chunk=300_000)
+    near = with_halo(rows, key, "ms", halo=500, chunk=chunk_ms)
     by = Window.partitionBy(*key, "__c").orderBy("ms").rangeBetween(-500, 0)
     d = F.sqrt(sum(F.pow(F.col(f"p.{a}") - F.col(f"then.{a}"), 2) for a in "xyz"))
     moved = near.withColumn("then", F.first("p").over(by)).withColumn("d", d).filter("__native")
@@ -406,16 +420,16 @@ def trailing_displacement(spark: SparkSession, sf_dir: str) -> DataFrame:
 g AS (SELECT *, t - lag(t) OVER (PARTITION BY episode_path, modality ORDER BY t) AS gap FROM u),
 m AS (SELECT episode_path, modality, median(gap) AS period FROM g GROUP BY 1, 2),
 x AS (SELECT g.*, CAST(floor((gap + 0.25 * period) / period) AS BIGINT) - 1 AS missing FROM g JOIN m USING (episode_path, modality) WHERE period > 0)
-SELECT episode_path, modality, count(*) AS gaps, CAST(sum(missing) AS BIGINT) AS missing_frames, max(missing) AS longest FROM x WHERE missing > 0 AND gap < 30000 GROUP BY 1, 2"""
+SELECT episode_path, modality, count(*) AS gaps, CAST(sum(missing) AS BIGINT) AS missing_frames, max(missing) AS longest FROM x WHERE missing > 0 GROUP BY 1, 2"""
 )
-def missing_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+def missing_inferred(spark: SparkSession, sf_dir: str, chunk_ms: int = 300_000) -> DataFrame:
     """Frames that gaps in fresh times, however long, suggest are missing."""
     rows = table(spark, sf_dir, "frame_times").filter(
         is_fresh(F.col("is_new"), F.col("timestamp_ms")) & X.finite(F.col("timestamp_ms")) & F.col("episode_path").isNotNull() & F.col("modality").isNotNull()
     )
     times = rows.select(*FRAME, F.col("timestamp_ms").alias("t")).distinct()
-    gaps = with_previous(times, FRAME, "t", ["t"], chunk_rows=300_000).withColumn("gap", F.col("t") - F.col("prev_t"))
-    period = gaps.groupBy(*FRAME).agg(F.median("gap").alias("period")).filter("period > 0")
+    gaps = with_previous(times, FRAME, "t", ["t"], chunk_rows=chunk_ms).withColumn("gap", F.col("t") - F.col("prev_t"))
+    period = grouped_median(gaps, FRAME, "gap", "period").filter("period > 0")
     missing = F.floor((F.col("gap") + 0.25 * F.col("period")) / F.col("period")) - 1
     return gaps.join(period, FRAME).withColumn("missing", missing).filter("missing > 0").groupBy(*FRAME).agg(
         F.count(F.lit(1)).alias("gaps"), F.sum("missing").alias("missing_frames"), F.max("missing").alias("longest")
@@ -423,19 +437,20 @@ def missing_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @R.add(
-    _JOINTS
-    + """, a AS (SELECT episode_path, row_idx, degrees(j1) * 4 AS deg FROM s WHERE isfinite(j1)),
-d AS (SELECT *, deg - lag(deg) OVER w AS raw FROM a WINDOW w AS (PARTITION BY episode_path ORDER BY row_idx)),
+    _EACH
+    + """, a AS (SELECT episode_path, joint, row_idx, degrees(v) * 4 AS deg FROM u),
+d AS (SELECT *, deg - lag(deg) OVER w AS raw FROM a WINDOW w AS (PARTITION BY episode_path, joint ORDER BY row_idx)),
 q AS (SELECT *, coalesce(raw + 180 - 360 * floor((raw + 180) / 360) - 180, deg) AS step FROM d)
-SELECT episode_path, round(max(c) - min(c), 4) AS swept_degrees, round(arg_max(c, row_idx), 4) AS last_angle FROM (SELECT *, sum(step) OVER (PARTITION BY episode_path ORDER BY row_idx) AS c FROM q) GROUP BY 1"""
+SELECT episode_path, joint, round(max(c) - min(c), 4) AS swept_degrees, round(arg_max(c, row_idx), 4) AS last_angle
+FROM (SELECT *, sum(step) OVER (PARTITION BY episode_path, joint ORDER BY row_idx) AS c FROM q) GROUP BY 1, 2"""
 )
-def unwrap_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+def unwrap_degrees(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Angles of each joint made continuous over full turns."""
     key = ["episode_path", "joint"]
     rows = each_joint(joints(spark, sf_dir, JOINTS)).select(*key, "row_idx", (F.degrees("v") * 4).alias("deg"))
-    pairs = with_previous(rows, key, "row_idx", ["deg"])
+    pairs = with_previous(rows, key, "row_idx", ["deg"], chunk_rows)
     step = F.pmod(F.col("deg") - F.col("prev_deg") + 180, F.lit(360.0)) - 180
-    turned = running_sum(pairs, key, "row_idx", F.coalesce(step, F.col("deg")), "c")
+    turned = running_sum(pairs, key, "row_idx", F.coalesce(step, F.col("deg")), "c", chunk_rows)
     return turned.groupBy(*key).agg(
         F.round(F.max("c") - F.min("c"), 4).alias("swept_degrees"), F.round(F.max_by("c", "row_idx"), 4).alias("last_angle")
     )
@@ -447,17 +462,17 @@ def unwrap_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
 k AS (SELECT *, avg(still) OVER w5 AS share, count(*) OVER w5 AS n FROM d WINDOW w5 AS (PARTITION BY episode_path ORDER BY row_idx ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
 SELECT episode_path, count(*) AS windows, count(*) FILTER (WHERE share >= 0.8) AS still_windows, min(row_idx) FILTER (WHERE share >= 0.8) AS first_still_row FROM k WHERE n = 5 GROUP BY 1"""
 )
-def still_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def still_windows(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Sliding windows of five rows of which at least four stand still."""
     key = ["episode_path"]
-    pairs = with_previous(joints(spark, sf_dir), key, "row_idx", JOINTS)
-    still = F.lit(True)
-    for j in JOINTS:
-        still = still & (F.abs(F.col(j) - F.col(f"prev_{j}")) < 0.001)
-    marked = pairs.select("episode_path", "row_idx", F.when(F.coalesce(still, F.lit(False)), 1.0).otherwise(0.0).alias("still"))
-    near = with_halo(marked, key, "row_idx", halo=4)
-    by = Window.partitionBy("episode_path", "__c").orderBy("row_idx").rowsBetween(-4, 0)
-    k = near.withColumn("share", F.avg("still").over(by)).withColumn("n", F.count(F.lit(1)).over(by)).filter("__native AND n = 5")
+    pairs = with_previous(joints(spark, sf_dir), key, "row_idx", JOINTS, chunk_rows)
+    marked = pairs.select("episode_path", "row_idx", F.when(moving(), 0.0).otherwise(1.0).alias("still"))
+
+    def share(rows: DataFrame, by) -> DataFrame:
+        last = by.rowsBetween(-4, 0)
+        return rows.withColumn("share", F.avg("still").over(last)).withColumn("n", F.count(F.lit(1)).over(last))
+
+    k = over_rows(marked, key, "row_idx", share, 4, 0, chunk_rows).filter("n = 5")
     return k.groupBy("episode_path").agg(
         F.count(F.lit(1)).alias("windows"), F.count_if(F.col("share") >= 0.8).alias("still_windows"), F.min(F.when(F.col("share") >= 0.8, F.col("row_idx"))).alias("first_still_row")
     )
@@ -469,31 +484,33 @@ def still_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 b AS (SELECT DISTINCT task, number FROM e WHERE bad), x AS (SELECT *, number - row_number() OVER (PARTITION BY task ORDER BY number) AS g FROM b)
 SELECT task, min(number) AS episode_start, max(number) AS episode_end, count(*) AS streak_length FROM x GROUP BY task, g HAVING count(*) >= 2"""
 )
-def streak_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def streak_segments(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Runs of bad episodes with consecutive numbers in a task."""
     number = F.regexp_extract("episode_path", r"episode_(\d+)", 1).try_cast("int")
     bad = clean_episodes(spark, sf_dir).filter(F.col("final_status").isin("fail", "needs_review"))
-    return bad_streaks(bad.select("task", number.alias("number")), ["task"], least=2)
+    # Tidied names are never empty, so '' stands for none.
+    named = bad.select(F.coalesce("task", F.lit("")).alias("task"), number.alias("number")).filter("number IS NOT NULL")
+    return bad_streaks(named, ["task"], least=2, chunk_rows=chunk_rows).withColumn("task", F.nullif("task", F.lit("")))
 
 
-def bad_streaks(bad: DataFrame, keys: list[str], least: int = 5) -> DataFrame:
+def bad_streaks(bad: DataFrame, keys: list[str], least: int = 5, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Maximal runs of consecutive ``number`` in each group, of ``least`` or more.
 
-    Numbers are unique after the distinct, so a group's window holds one row for
-    each bad episode number.
+    Keys and numbers are not null.  A group may hold most rows; it is cut into
+    chunks of its numbers.
     """
-    numbers = bad.select(*keys, "number").distinct()
-    by = Window.partitionBy(*keys).orderBy("number")
-    runs = numbers.withColumn("g", F.col("number") - F.row_number().over(by))
-    return runs.groupBy(*keys, "g").agg(
+    numbers = with_previous(bad.select(*keys, "number").distinct(), keys, "number", ["number"], chunk_rows)
+    opens = F.coalesce(F.col("number") - F.col("prev_number") > 1, F.lit(True))
+    runs = islands(numbers, keys, "number", opens, chunk_rows).groupBy(*keys, "island")
+    return runs.agg(
         F.min("number").alias("episode_start"), F.max("number").alias("episode_end"), F.count(F.lit(1)).alias("streak_length")
-    ).filter(F.col("streak_length") >= least).drop("g")
+    ).filter(F.col("streak_length") >= least).drop("island")
 
 
 @R.add()
-def trajectory_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trajectory_labels(spark: SparkSession, sf_dir: str, chunk_ms: int = 600_000) -> DataFrame:
     """The label of each pose stream, and whether it is kept, mended, cropped or rejected."""
-    return label_trajectories(table(spark, sf_dir, "actions_eef_pose"))
+    return label_trajectories(table(spark, sf_dir, "actions_eef_pose"), chunk_ms=chunk_ms)
 
 
 _SIX = [f"left_r{i}" for i in range(1, 7)]

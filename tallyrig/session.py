@@ -1,4 +1,4 @@
-"""Session helpers: table access and durable lineage cuts."""
+"""Session helpers: table access, and intermediate tables in the shared folder."""
 
 from __future__ import annotations
 
@@ -8,55 +8,67 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Intermediate tables that are still there.
+_written: list[tuple[SparkSession, str]] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the parquet tables of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables, which all executors share.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (local tests) is a temporary folder of this machine used.
+    A cluster names it in ``spark.checkpoint.dir``; without that setting only a
+    session on this machine alone (a ``local`` master) gets a temporary folder.
     """
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tallyrig-checkpoint-"))
+    if not folder:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tallyrig-")
+    context.setCheckpointDir(folder)
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there.
-
-    Survives the loss of executors, unlike a local checkpoint.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def written(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table into the shared checkpoint folder and read it from there.
+    """Write ``df`` as a table into the shared folder and read it from there.
 
-    Like a checkpoint, but columnar and compressed, and later steps read only
-    the columns they need.  The table is removed when the program ends.
+    This cuts the lineage and survives the loss of executors.  Later steps read
+    only the columns they need.  ``release`` removes the tables, at the latest
+    when the program ends.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/tallyrig-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tallyrig-{uuid.uuid4().hex}"
+    _written.append((spark, path))
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # noqa: BLE001  the session may have ended before
-        pass
+cut = written
+
+
+def release() -> None:
+    """Remove all intermediate tables.
+
+    To be called when the results of the queries that wrote them have been used;
+    a long session fills the shared folder otherwise.
+    """
+    while _written:
+        spark, path = _written.pop()
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # noqa: BLE001  the session may have ended before
+            pass
+
+
+atexit.register(release)
 
 
 def plan_bytes(df: DataFrame) -> int:

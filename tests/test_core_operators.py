@@ -5,14 +5,15 @@ import random
 from statistics import median
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyrig.operators.eager import join_aggregate
 from tallyrig.operators.grid import regular_grid
 from tallyrig.operators.ordered import islands, running_sum, with_halo, with_previous
-from tallyrig.operators.quantile import grouped_median
+from tallyrig.operators.quantile import average_ranks, grouped_median, grouped_quantiles
 from tallyrig.operators.spikes import SpikeRule, implausible_readings
 
-RULE = {"x": SpikeRule(factor=10, held_rows=4, low=-2.0, high=2.0)}
+RULE = {"x": SpikeRule(factor=10, held_rows=4, low=-2.0, high=2.0), "y": SpikeRule(factor=10, held_rows=4, low=-2.0, high=2.0, own=False)}
 SCHEMA = "source string, field string, row_idx long, value double, level string"
 
 
@@ -26,7 +27,7 @@ def brute_spikes(series, rule, side=5):
         steps = [s for s in steps if not math.isnan(s)]
         usual = median(steps) if steps else None
         for k in range(side, n - side):
-            level = median(v[k - side : k + side + 1])
+            level = median(v[k - side : k + side + 1] if rule.own else v[k - side : k] + v[k + 1 : k + side + 1])
             off = abs(v[k] - level)
             spike = usual is not None and not math.isnan(off) and off > rule.factor * usual
             a = k
@@ -63,14 +64,23 @@ def test_spikes_equal_brute_force(spark):
     data += [(None, "x", 1, 9.0, ""), ("b", "unknown", 1, 9.0, ""), ("b", "x", None, 9.0, ""), ("b", None, 3, 9.0, "")]
     rng.shuffle(data)
     df = spark.createDataFrame(data, SCHEMA)
-    want = brute_spikes(series, RULE["x"])
+    df = df.unionByName(df.filter("field = 'x'").withColumn("field", F.lit("y")))
+    want = {(f, *r) for f in RULE for r in brute_spikes(series, RULE[f])}
     for chunk in (16, 37, 8192):  # chunks shorter and longer than a window's reach
-        got = [(r.source, r.row_idx) for r in implausible_readings(df, RULE, chunk_rows=chunk).collect()]
+        got = [(r.field, r.source, r.row_idx) for r in implausible_readings(df, RULE, chunk_rows=chunk).collect()]
         assert len(got) == len(set(got))
         assert set(got) == want
     assert want
 
 
+def test_a_rim_is_its_own_level_only_by_rule(spark):
+    line = [*range(10), *range(110, 120)]
+    df = spark.createDataFrame([("s", f, i, float(v)) for f in RULE for i, v in enumerate(line)], "source string, field string, row_idx long, value double")
+    wide = {f: SpikeRule(10, 4, -1e9, 1e9, own) for f, own in (("x", True), ("y", False))}
+    got = sorted((r.field, r.row_idx) for r in implausible_readings(df, wide).collect())
+    assert got == [("y", 9), ("y", 10)]
+
+
 def test_spikes_of_nothing(spark):
     assert implausible_readings(spark.createDataFrame([], SCHEMA), RULE).count() == 0
 
@@ -84,6 +94,27 @@ def test_grouped_median_equals_python(spark, rows):
     assert got == pytest.approx(want)
 
 
+def test_quantiles_and_ranks_equal_python(spark):
+    rng = random.Random(7)
+    value = lambda: rng.choice([0.0, -0.0, -1e-300, rng.gauss(0, 1), rng.gauss(0, 1e6), 3.0, -3.0, -math.inf])
+    data = [(g, value()) for g in ("a", "b", None) for _ in range(rng.randint(20, 90))] + [("c", 1.5), ("d", None), ("d", math.nan)]
+    df = spark.createDataFrame(data, "g string, v double")
+    finite = df.filter("v > -1e300 OR v IS NULL")
+    got = {r.g: (r.n, r.low, r.q) for r in grouped_quantiles(finite, ["g"], "v", {"low": 0.0, "q": 0.37}).collect()}
+    for g in ("a", "b", None, "c"):
+        s = sorted(v for k, v in data if k == g and v > -1e300)
+        at = 0.37 * (len(s) - 1)
+        q = s[int(at)] + (s[min(int(at) + 1, len(s) - 1)] - s[int(at)]) * (at - int(at))
+        assert got[g] == (len(s), s[0], pytest.approx(q))
+    assert set(got) == {"a", "b", None, "c"}
+    for r in average_ranks(df, ["g"], "v", "rank").collect():
+        if r.v is None or math.isnan(r.v):
+            assert r["rank"] is None
+        else:
+            line = [v for k, v in data if k == r.g]
+            assert r["rank"] == sum(v < r.v for v in line) + (line.count(r.v) + 1) / 2
+
+
 def test_join_aggregate_equals_join(spark, rows):
     rng = random.Random(3)
     pick = lambda: rng.choice(["k1"] * 6 + ["k2", "k3", None])

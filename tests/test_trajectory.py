@@ -74,7 +74,7 @@ def test_pchip_keeps_shape():
 def test_repair_in_chunks(spark):
     data = [("a", i, math.sin(i / 20), i % 7 == 3) for i in range(300)]
     df = spark.createDataFrame([(k, i, 99.0 if bad else v, bad) for k, i, v, bad in data], "k string, i long, v double, bad boolean")
-    got = {r.i: r.v for r in repair_masked(df, ["k"], "i", ["v"], "bad", chunk_rows=64, halo_rows=20).collect()}
+    got = {r.i: r.v for r in repair_masked(df, ["k"], "i", ["v"], "bad", chunk_rows=64).collect()}
     assert len(got) == 300
     assert max(abs(got[i] - v) for _, i, v, _ in data) < 0.01
 

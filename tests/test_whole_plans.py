@@ -82,12 +82,8 @@ def test_path_of_each_side(spark, pose_folder):
     assert out["left"]["large_steps"] == 0 < out["right"]["large_steps"]
 
 
-def test_every_joint_has_its_jitter_speed_and_turn(spark, joint_folder, monkeypatch):
+def test_every_joint_has_its_jitter_speed_and_turn(spark, joint_folder):
     # Chunks of 16 rows, so that missing readings lie about their borders.
-    near, last, run = series.with_halo, series.with_last_known, series.running_sum
-    monkeypatch.setattr(series, "with_halo", lambda *a, **k: near(*a, **({"chunk": 16} | k)))
-    monkeypatch.setattr(series, "with_last_known", lambda *a, **k: last(*a, **({"chunk_rows": 16} | k)))
-    monkeypatch.setattr(series, "running_sum", lambda *a, **k: run(*a, **({"chunk_rows": 16} | k)))
     rng = random.Random(6)
     lines = []
     for i in range(100):
@@ -95,9 +91,9 @@ def test_every_joint_has_its_jitter_speed_and_turn(spark, joint_folder, monkeypa
         lines.append(("e", i, 20.0 * i, *j, 0.05))
     folder = joint_folder(lines)
     read = {f"j{k}": [(r[2], r[2 + k]) for r in lines if r[2 + k] is not None] for k in range(1, 8)}
-    jitter = {r["joint"]: r for r in series.jitter_score(spark, folder).collect()}
-    speeds = {r["joint"]: r for r in series.velocity_p99(spark, folder).collect()}
-    turns = {r["joint"]: r for r in series.unwrap_degrees(spark, folder).collect()}
+    jitter = {r["joint"]: r for r in series.jitter_score(spark, folder, chunk_rows=16).collect()}
+    speeds = {r["joint"]: r for r in series.velocity_p99(spark, folder, chunk_rows=16).collect()}
+    turns = {r["joint"]: r for r in series.unwrap_degrees(spark, folder, chunk_rows=16).collect()}
     assert set(jitter) == set(speeds) == set(turns) == set(read)
     for j, line in read.items():
         v = [x for _, x in line]
