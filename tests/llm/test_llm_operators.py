@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyrig.llm.canonical import LOOK_ALIKES, _tables, canonical, canonical_documents, look_alike_pairs
-from tallyrig.llm.leaks import leaked_passages, word_list
+from tallyrig.llm.leaks import leaked_passages, sketches, words
 from tallyrig.llm.mixing import apportion, mix_shares, mix_sources, token_count
 from tallyrig.llm.multiselect import combined_percentiles, percentiles, summarise
 from tallyrig.llm.nearest import nearest_by_time
@@ -195,18 +195,33 @@ def test_leaks_equal_brute_force(spark, rows):
     want = {(d, i): len(grams(t) & grams(u)) for d, t in docs.items() for i, u in items.items() if grams(t) & grams(u)}
     df = spark.createDataFrame([(d, t, 1) for d, t in docs.items()] + [(3, docs[3], 1), (None, items[0], 1)], "doc_id long, text string, item_id int")
     it = spark.createDataFrame([(i, t) for i, t in items.items()] + [(None, "x")], "item_id long, text string")
-    for block in (40, 256):
-        got = {(r.doc_id, r.item_id): r.shared_windows for r in leaked_passages(df, it, block_words=block).collect()}
+    for limit in ("10MB", "-1"):  # with broadcasts, and with every join shuffled
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        found = leaked_passages(df, it)
+        got = {(r.doc_id, r.item_id): r.shared_windows for r in found.collect()}
+        assert ("Broadcast" in found._jdf.queryExecution().executedPlan().toString()) == (limit != "-1")
         assert got == want
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(want) > 10
     assert leaked_passages(df.limit(0), it).count() == 0
     assert leaked_passages(df, it.limit(0)).count() == 0
 
 
-def test_case_and_look_alikes_meet(spark):
-    texts = ["Вот Кот МНЕ Straße", "вот кот мне STRASSE", "Bот Kот MHE straße"]
-    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(word_list(F.col("t"))).collect()]
+def test_case_and_look_alikes_meet():
+    got = [words(t) for t in ("Вот Кот МНЕ Straße", "вот кот мне STRASSE", "Bот Kот MHE straße")]
     assert got[0] == got[1] == got[2] and len(got[0]) == 4
+    assert words(None) == words("") == words(" _- ") == []
+
+
+def test_equal_windows_share_a_value():
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(WORDS) for _ in range(rng.randint(0, 40))) for _ in range(40)]
+    owner, values = sketches([*texts, None, ""], 6, 3)
+    of = {i: {v for o, v in zip(owner, values) if o == i} for i in range(42)}
+    assert sorted(zip(owner, values)) == list(zip(owner, values)) and len(set(zip(owner, values))) == len(values)
+    grams = [{tuple(w[i : i + 6]) for w in [t.split()] for i in range(len(w) - 5)} for t in texts]
+    assert all(of[a] & of[b] for a in range(40) for b in range(40) if grams[a] & grams[b])
+    assert not of[40] and not of[41] and all(bool(of[i]) == bool(g) for i, g in enumerate(grams))
 
 
 def test_apportion_is_the_one_by_one_rule():
