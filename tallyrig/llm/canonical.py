@@ -27,12 +27,13 @@ from pyspark.sql.types import StringType
 
 from tallyrig.session import written
 
-#: Letters drawn alike in Latin, Greek and Cyrillic (Latin; the others).
+#: Letters drawn alike in Latin, Greek and Cyrillic (Latin; the others).  Small letters that are only
+#: loosely alike and whose capitals are not (gamma, sigma, upsilon, Cyrillic ghe) are kept apart.
 LOOK_ALIKES = {
-    "A": "ΑА", "B": "ΒВ", "C": "СϹ", "E": "ΕЕ", "G": "Ԍ", "H": "ΗН", "I": "ΙІӀ", "J": "ЈͿ",
-    "K": "ΚК", "M": "ΜМ", "N": "Ν", "O": "ΟО", "P": "ΡР", "Q": "Ԛ", "S": "Ѕ", "T": "ΤТ",
-    "V": "Ѵ", "W": "Ԝ", "X": "ΧХ", "Y": "ΥУҮ", "Z": "Ζ",
-    "a": "а", "c": "сϲ", "d": "ԁ", "e": "е", "h": "һ", "i": "і", "j": "јϳ", "l": "ӏ", "o": "οо",
+    "A": "ΑА", "B": "ΒВ", "C": "СϹ", "E": "ΕЕ", "F": "Ϝ", "G": "Ԍ", "H": "ΗН", "I": "ΙІӀ", "J": "ЈͿ",
+    "K": "ΚК", "M": "ΜМϺ", "N": "Ν", "O": "ΟО", "P": "ΡР", "Q": "Ԛ", "S": "Ѕ", "T": "ΤТ",
+    "V": "Ѵ", "W": "Ԝ", "X": "ΧХ", "Y": "ΥУҮϒ", "Z": "Ζ",
+    "a": "аα", "c": "сϲ", "d": "ԁ", "e": "е", "h": "һ", "i": "іι", "j": "јϳ", "l": "ӏ", "o": "οо",
     "p": "ρр", "q": "ԛ", "s": "ѕ", "v": "νѵ", "w": "ԝ", "x": "х", "y": "уү",
 }
 #: Ranges that show nothing and are not format characters.
@@ -130,39 +131,56 @@ def canonical_documents(documents: DataFrame, text: str = "text", id_column: str
     ).filter(F.col(id_column).isNotNull())
 
 
+def _digests(documents: DataFrame, text: str, id_column: str) -> DataFrame:
+    """``id, form, variant``: 128-bit digests of each document's consistent form and of its text, each once.
+
+    Written, as the forms are the costly part and the digests are read more than once.
+    """
+    forms = canonical_documents(documents, text, id_column).filter(F.col("text").isNotNull())
+    digest = lambda c: F.unhex(F.md5(c))
+    return written(
+        forms.select(F.col(id_column).alias("id"), digest("canonical").alias("form"), digest("text").alias("variant")).dropDuplicates(["id", "variant"])
+    )
+
+
 def look_alike_pairs(documents: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Pairs of documents whose texts differ but have one consistent form.
 
     Result: ``<id>_a, <id>_b`` with a < b.  Texts and forms travel as 128-bit
-    digests.  Only forms of which there are at least two different texts are
-    paired, and never two copies of one text, so a large group of copies costs
-    nothing by itself.  Groups are counted with map-side combination first.
+    digests.  First the different texts of a form are paired, each once however
+    many copies it has, and then their documents are put in: what is joined in
+    the end are the rows of the result, and two copies of one text never meet.
+    ``look_alike_classes`` gives the same links without any pair.
 
     Null texts and null ids are left out; two empty texts are identical and no
     pair; repeated rows of one id and text count once.  An id with two texts
     never pairs with itself.  Empty tables give no rows.
     """
-    forms = canonical_documents(documents, text, id_column).filter(F.col("text").isNotNull())
-    digest = lambda c: F.unhex(F.md5(c))
-    # Written once: the forms are the costly part, and the digests are read twice.
-    digests = written(
-        forms.select(
-            F.col(id_column).alias("id"), digest("canonical").alias("form"), digest("text").alias("variant")
-        ).dropDuplicates(["id", "variant"])
-    )
-    variants = (
-        digests.groupBy("form", "variant")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("form")
-        .agg(F.count(F.lit(1)).alias("variants"))
-        .filter("variants > 1")
-        .select("form")
-    )
-    mixed = digests.join(variants, "form", "left_semi")
-    a = mixed.select("form", F.col("id").alias(f"{id_column}_a"), F.col("variant").alias("va"))
-    b = mixed.select("form", F.col("id").alias(f"{id_column}_b"), F.col("variant").alias("vb"))
-    pairs = a.join(
-        b,
-        (a["form"] == b["form"]) & (F.col(f"{id_column}_a") < F.col(f"{id_column}_b")) & (F.col("va") != F.col("vb")),
+    digests = _digests(documents, text, id_column)
+    variants = digests.select("form", "variant").distinct()
+    x = variants.select("form", F.col("variant").alias("va"))
+    y = variants.select("form", F.col("variant").alias("vb"))
+    links = x.join(y, "form").filter("va < vb").select("va", "vb")
+    of = lambda name, v: digests.select(F.col("id").alias(name), F.col("variant").alias(v))
+    pairs = links.join(of("a", "va"), "va").join(of("b", "vb"), "vb").filter("a <> b")
+    return pairs.select(F.least("a", "b").alias(f"{id_column}_a"), F.greatest("a", "b").alias(f"{id_column}_b")).distinct()
+
+
+def look_alike_classes(documents: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """Each document with the class of its consistent form, and how many look-alikes it has.
+
+    Result: ``id_column, class_id, texts, documents, links``: the form's digest,
+    how many different texts and how many documents have it, and how many of
+    those have another text than this one (zero for mere copies).  No pairs are
+    made; counts combine before they are shuffled.
+
+    Null texts and null ids are left out; repeated rows count once; an id with
+    several texts has a row for each.  Empty tables give no rows.
+    """
+    digests = _digests(documents, text, id_column)
+    variants = digests.groupBy("form", "variant").agg(F.count(F.lit(1)).alias("own"))
+    classes = variants.groupBy("form").agg(F.count(F.lit(1)).alias("texts"), F.sum("own").alias("documents"))
+    known = variants.join(classes, "form").select("variant", "form", "texts", "documents", (F.col("documents") - F.col("own")).alias("links"))
+    return digests.select("id", "variant").join(known, "variant").select(
+        F.col("id").alias(id_column), F.lower(F.hex("form")).alias("class_id"), "texts", "documents", "links"
     )
-    return pairs.select(f"{id_column}_a", f"{id_column}_b").distinct()

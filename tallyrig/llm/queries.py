@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrig.functions.text import is_fresh, tidy_name
-from tallyrig.llm.canonical import canonical_documents, look_alike_pairs
+from tallyrig.llm.canonical import canonical_documents, look_alike_classes, look_alike_pairs
 from tallyrig.llm.leaks import leaked_passages
 from tallyrig.llm.mixing import mix_shares, mix_sources, token_count
 from tallyrig.llm.multiselect import combined_percentiles, percentiles, summarise
@@ -140,9 +140,14 @@ def p10_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_documents(table(spark, sf_dir, "documents")).select("doc_id", "canonical")
 
 
+def p10_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class of its consistent form and its number of look-alikes."""
+    return look_alike_classes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     found = (p2_found, p7_found, p8_found, p10_found)
-    more = (p2_pairs, p5_percentiles, p5_combined_days, p6_splits, p6_report, p7_runs, p8_leaks, p9_mix, p9_shares, p10_canonical)
+    more = (p2_pairs, p5_percentiles, p5_combined_days, p6_splits, p6_report, p7_runs, p8_leaks, p9_mix, p9_shares, p10_canonical, p10_classes)
     return {f.__name__: f for f in (*found, *more)}
 
 

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyrig.llm.canonical import LOOK_ALIKES, _tables, canonical, canonical_documents, look_alike_pairs
+from tallyrig.llm.canonical import LOOK_ALIKES, _tables, canonical, canonical_documents, look_alike_classes, look_alike_pairs
 from tallyrig.llm.leaks import leaked_passages, sketches, words
 from tallyrig.llm.mixing import apportion, mix_shares, mix_sources, token_count
 from tallyrig.llm.multiselect import combined_percentiles, percentiles, summarise
@@ -293,5 +293,12 @@ def test_look_alike_pairs(spark, rows):
     df = spark.createDataFrame([(*d, "f") for d in docs], "doc_id long, text string, form string")
     assert rows(look_alike_pairs(df)) == [(1, 2), (1, 8), (2, 3), (2, 8), (3, 8), (9, 10)]
     assert look_alike_pairs(df.limit(0)).count() == 0
+    classes = {}
+    for r in look_alike_classes(df).collect():
+        classes.setdefault(r.class_id, {})[r.doc_id] = (r.texts, r.documents, r.links)
+    three = {1: (3, 4, 2), 2: (3, 4, 3), 3: (3, 4, 2), 8: (3, 4, 3)}
+    known = (three, {4: (1, 1, 0)}, {6: (1, 2, 0), 7: (1, 2, 0)}, {9: (2, 2, 1), 10: (2, 2, 1)})
+    assert len(classes) == 4 and all(c in known for c in classes.values())
+    assert look_alike_classes(df.limit(0)).count() == 0
     forms = {r.doc_id: r.canonical for r in canonical_documents(df).collect()}
     assert forms[5] is None and forms[6] == "" and forms[2] == "copy"
