@@ -7,10 +7,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyrig.session import cut, written
+from tallyrig.session import written
 
-#: A range of this many values or fewer is ranked by sorting it in one task.
-FINISH_ROWS = 20_000
+#: The end of the recursion: a range of so few values is ranked directly.
+FINISH_ROWS = 256
 
 
 def percentiles(
@@ -30,8 +30,9 @@ def percentiles(
     wanted ranks, each partition proposes its local median; the weighted median
     of the proposals becomes the pivot; values below, at and above it are
     counted; ranks at the pivot are found, the others go on in the lower or
-    upper range, and values of ranges without ranks are discarded.  A range of
-    at most ``finish_rows`` values is sorted instead.  A value is joined to its
+    upper range, and values of ranges without ranks are discarded.  The rounds
+    end when no range has more than ``finish_rows`` values, a constant that does
+    not depend on the data; those few are ranked directly.  A value is joined to its
     pivot by group, range and the partition it came from, so no group gathers
     in a task, and only two numbers a round reach the driver.
 
@@ -53,27 +54,25 @@ def percentiles(
     start = start.withColumn("g", tag).withColumn("salt", F.spark_partition_id()).withColumn("r", F.lit(1).cast("long"))
     base = written(start.select("g", *keys, "salt", "r", "v", "w"))
 
-    sizes = cut(base.groupBy("g", *keys).agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("rows")))
+    sizes = written(base.groupBy("g", *keys).agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("rows")))
     wanted = (
         sizes.select("g", "n", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("q"))
         .withColumn("pos", F.col("q") * (F.col("n") - 1))
         .select("g", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("target"))
         .distinct()
     )
-    targets = cut(wanted.select("g", F.lit(1).cast("long").alias("r"), F.col("target").alias("k"), "target"))
+    targets = written(wanted.select("g", F.lit(1).cast("long").alias("r"), F.col("target").alias("k"), "target"))
     active = base.select("g", "salt", "r", "v", "w")
     found: list[DataFrame] = []
     most = sizes.agg(F.max("rows")).first()[0] or 0
 
-    for _ in range(60):
-        if most <= finish_rows:
-            break
+    while most > finish_rows:
         spot = Window.partitionBy("g", "r")
         order = spot.orderBy("m", "salt").rowsBetween(Window.unboundedPreceding, 0)
         proposals = active.groupBy("g", "r", "salt").agg(
             F.percentile_approx("v", 0.5, 200).alias("m"), F.sum("w").alias("c")
         )
-        pivots = cut(
+        pivots = written(
             proposals.withColumn("cum", F.sum("c").over(order))
             .withColumn("all", F.sum("c").over(spot))
             .withColumn("p", F.min(F.when(F.col("cum") * 2 >= F.col("all"), F.col("m"))).over(spot))
@@ -91,7 +90,7 @@ def percentiles(
                 F.count_if(v > p).alias("rows_above"),
             )
         )
-        judged = cut(targets.join(counted, ["g", "r"]))
+        judged = written(targets.join(counted, ["g", "r"]))
         hit = (F.col("k") >= F.col("below")) & (F.col("k") < F.col("below") + F.col("at"))
         lower = F.col("k") < F.col("below")
         found.append(judged.filter(hit).select("g", "target", p.alias("v")))
@@ -124,7 +123,7 @@ def percentiles(
     out = last.select("g", "target", "v")
     for part in found:
         out = out.unionByName(part)
-    out = cut(out)
+    out = written(out)
 
     lines = sizes.withColumn("quantile", F.explode(F.array(*[F.lit(float(q)) for q in quantiles]))).withColumn(
         "pos", F.col("quantile") * (F.col("n") - 1)

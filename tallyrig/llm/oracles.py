@@ -1,7 +1,6 @@
 """SQL for DuckDB that gives what the queries of this folder give."""
 
 from tallyrig.plans.base import SQL as EPISODES
-from tallyrig.plans.base import metric
 
 _P2 = r"""
 WITH f AS (
@@ -56,14 +55,23 @@ SQL: dict[str, str] = {
 }
 
 
-def percentiles(metrics: list[str], quantiles: list[float]) -> str:
-    """SQL of the exact percentiles of each metric per robot."""
-    values = " UNION ALL ".join(
-        f"SELECT coalesce(robot, '(unknown)') AS robot, '{m}' AS metric, {metric(m)} AS value FROM ep" for m in metrics
-    )
+_METRICS = """{episodes}, k AS (SELECT coalesce(robot, '(unknown)') AS robot, metrics, unnest(json_keys(metrics)) AS metric FROM ep WHERE json_valid(metrics) AND json_type(metrics) = 'OBJECT'),
+v AS (SELECT robot, metric, try_cast(json_extract_string(metrics, '$."' || metric || '"') AS DOUBLE) AS value FROM k),
+u AS (SELECT robot, metric, {value} AS value FROM v WHERE isfinite(value))
+"""
+
+
+def percentiles(quantiles: list[float], value: str = "value", more: str = "") -> str:
+    """SQL of the percentiles of each number in metrics per robot, of the values or of a function of them."""
     each = " UNION ALL ".join(
-        f"SELECT robot, metric, CAST({q} AS DOUBLE) AS quantile, count(*) AS n, round(quantile_cont(value, {q}), 6) AS value"
-        " FROM v WHERE value IS NOT NULL GROUP BY 1, 2"
+        f"SELECT robot, metric, CAST({q} AS DOUBLE) AS quantile, count(*) AS n, round(quantile_cont(value, {q}), 6) AS value{more} FROM u GROUP BY 1, 2"
         for q in quantiles
     )
-    return f"{EPISODES}, v AS ({values}) {each}"
+    return _METRICS.format(episodes=EPISODES, value=value) + each
+
+
+def combined(quantiles: list[float], error: float = 0.005) -> str:
+    """The same over the middles of buckets a value is at most ``error`` away from."""
+    base = f"((1 + {error}) / (1 - {error}))"
+    middle = f"CASE WHEN value = 0 THEN 0.0 ELSE sign(value) * pow({base}, ceil(ln(abs(value)) / ln({base}))) * (1 - {error}) END"
+    return percentiles(quantiles, middle, f", CAST({error} AS DOUBLE) AS max_relative_error")

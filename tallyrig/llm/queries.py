@@ -16,8 +16,7 @@ from tallyrig.llm.splits import grouped_split
 from tallyrig.plans.dealt import latest_episodes
 from tallyrig.session import table, written
 
-#: Problem 5: the numbers of episodes.metrics in the SQL, which names them (the queries take all), and the percentiles.
-METRICS = ["p2_duration_seconds", "p3_left_wrist_view_drop_ratio", "p5_max_velocity", "p5_jitter_score"]
+#: Problem 5: the percentiles.
 QUANTILES = [0.01, 0.25, 0.5, 0.75, 0.9, 0.99]
 #: Problem 6: the stated proportions.
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
@@ -154,4 +153,4 @@ def queries() -> dict:
 def oracle_sql() -> dict:
     from tallyrig.llm import oracles
 
-    return oracles.SQL | {"p5_percentiles": oracles.percentiles(METRICS, QUANTILES)}
+    return oracles.SQL | {"p5_percentiles": oracles.percentiles(QUANTILES), "p5_combined_days": oracles.combined(QUANTILES)}
