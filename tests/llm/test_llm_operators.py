@@ -16,6 +16,7 @@ from tallyrig.llm.multiselect import combined_percentiles, percentiles, summaris
 from tallyrig.llm.nearest import nearest_by_time
 from tallyrig.llm.runs import collapse_runs
 from tallyrig.llm.splits import components, grouped_split
+from tallyrig.session import written
 
 
 def test_nearest_equals_brute_force(spark, rows):
@@ -246,8 +247,8 @@ def test_mix_meets_targets_and_caps(spark):
     data = [(i, "big" if i % 3 else rng.choice(["small", "tiny", "other", None]), rng.randint(0, 40)) for i in range(4000)]
     docs = spark.createDataFrame(data + data[:100] + [(None, "big", 5)], "doc_id long, source string, tokens long")
     targets = spark.createDataFrame([("big", 0.6, 1), ("small", 0.25, 3), ("tiny", 0.15, 2), ("absent", 0.0, 1)], "source string, target_share double, max_repeats int")
-    for shard in (4_000_000, 2_000):
-        mix = mix_sources(docs, targets, "tokens", block_tokens=100, shard_tokens=shard).cache()
+    for shard in (4_000_000, 2_000, 400):  # one shard, one shelf, several shelves
+        mix = written(mix_sources(docs, targets, "tokens", block_tokens=100, shard_tokens=shard))
         used = mix.collect()
         assert len({r.doc_id for r in used}) == len(used)
         cap = {"big": 1, "small": 3, "tiny": 2}
@@ -257,7 +258,7 @@ def test_mix_meets_targets_and_caps(spark):
         for s, goal in (("big", 0.6), ("small", 0.25), ("tiny", 0.15)):
             assert shares[s].actual_share == pytest.approx(goal, abs=0.03)
         assert shares["absent"].mixed_tokens == 0
-    again = mix_sources(docs.repartition(3), targets, "tokens", block_tokens=100, shard_tokens=2_000)
+    again = mix_sources(docs.repartition(3), targets, "tokens", block_tokens=100, shard_tokens=400)
     assert sorted(again.collect()) == sorted(used)  # seeded
     assert mix_sources(docs.limit(0), targets, "tokens").count() == 0
     assert mix_sources(docs, targets.limit(0), "tokens").count() == 0
@@ -266,6 +267,8 @@ def test_mix_meets_targets_and_caps(spark):
 def test_token_count(spark):
     got = spark.createDataFrame([("hello world",), ("",), (None,), ("x " * 50_000,)], "t string").select(token_count(F.col("t"))).collect()
     assert [r[0] for r in got][:3] == [2, 0, 0] and got[3][0] >= 50_000
+    with pytest.raises(FileNotFoundError):
+        token_count(F.col("t"), "/no/such/folder")
 
 
 def whole(text):
