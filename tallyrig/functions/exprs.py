@@ -116,13 +116,23 @@ def redact(document: Column, names: tuple[str, ...] = ("password", "token", "sec
     )
 
 
+#: Detail keys in the order in which one is shown, the name it is shown under, and its format.
+EVIDENCE = (
+    ("drop_ratio", "drop_ratio", "%.1f%%"), ("max_consecutive_drops", "max_consecutive", ""), ("violation_ratio", "ratio", "%.1f%%"),
+    ("duplicate_ratio", "ratio", "%.1f%%"), ("deviation_ratio", "deviation", "%.1f%%"), ("spread_ms", "spread", "%.0fms"),
+    ("iqr_distance", "iqr_distance", "%.1f"), ("threshold", "threshold", ""),
+)
+
+
 def evidence(details: Column) -> Column:
-    """The first of the usual detail keys that is present, as ``key=value``."""
-    keys = ("value", "ratio", "error_ratio", "duration_ms", "max_violation", "count", "measured", "modality")
-    found = [
-        F.when(F.get_json_object(details, f"$.{k}").isNotNull(), F.concat(F.lit(f"{k}="), F.get_json_object(details, f"$.{k}")))
-        for k in keys
-    ]
+    """The first of the usual detail keys that is present, as ``name=value``; shares as percent."""
+    found = []
+    for key, name, shape in EVIDENCE:
+        text = F.get_json_object(details, f"$.{key}")
+        if shape:
+            value = text.try_cast("double") * (100 if shape.endswith("%%") else 1)
+            text = F.when(value.isNotNull(), F.format_string(shape, value))
+        found.append(F.concat(F.lit(f"{name}="), text))
     return F.coalesce(*found, F.lit(""))
 
 

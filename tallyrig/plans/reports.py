@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyrig.config import DEFAULTS
 from tallyrig.functions import exprs as X
 from tallyrig.operators.quantile import average_ranks, grouped_quantiles, grouped_ranks
 from tallyrig.plans.base import SQL, clean_episodes, clean_findings, metric
@@ -15,8 +16,9 @@ R = Registry()
 UNKNOWN = "(unknown)"
 #: Pivoted statuses, in report order.
 PIVOT = ("pass", "warning", "needs_review", "fail", "umi_pending")
-#: Weight of a severity in the priority of an issue.
-WEIGHTS = {"critical": 40, "major": 20, "minor": 5, "info": 1}
+#: Weight of a severity in the priority of an issue; others have the last.
+WEIGHTS = {k: v for k, v in DEFAULTS["severity_weight"].items() if k != "other"}
+OTHER_WEIGHT = DEFAULTS["severity_weight"]["other"]
 _PENDING = "coalesce(final_status, 'pending')"
 _RANK = "CASE severity WHEN 'critical' THEN 3 WHEN 'major' THEN 2 WHEN 'minor' THEN 1 WHEN 'info' THEN 0 ELSE -1 END"
 
@@ -235,7 +237,7 @@ SELECT check_name, count(*) AS findings, count(DISTINCT f.episode_path) AS episo
   round(100.0 * count(*) / any_value(all_findings), 4) AS pct_findings,
   round(100.0 * count(DISTINCT f.episode_path) / any_value(bad_episodes), 4) AS pct_bad_episodes,
   round(100.0 * count(DISTINCT f.episode_path) / any_value(all_episodes), 4) AS pct_all_episodes,
-  max(CASE severity {_W} ELSE 0 END) + 3 * count(DISTINCT f.episode_path) + count(*) AS priority
+  max(CASE severity {_W} ELSE {OTHER_WEIGHT} END) + 3 * count(DISTINCT f.episode_path) + count(*) AS priority
 FROM f LEFT JOIN ep USING (episode_path), t, n GROUP BY 1"""
 )
 def core_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,7 +246,7 @@ def core_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     Findings are reduced to one row an episode and check before the join, so
     distinct counts run over compact states.
     """
-    weight = F.lit(0)
+    weight = F.lit(OTHER_WEIGHT)
     for name, value in WEIGHTS.items():
         weight = F.when(F.col("severity") == name, value).otherwise(weight)
     states = flagged(clean_findings(spark, sf_dir)).groupBy("check_name", "episode_path").agg(

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyrig.config import DEFAULTS
 from tallyrig.functions import exprs as X
 from tallyrig.functions.text import is_fresh
-from tallyrig.operators.ordered import with_last_known
 from tallyrig.plans.base import SQL, clean_episodes, clean_findings, metric
 from tallyrig.plans.registry import Registry
 from tallyrig.plans.reports import UNKNOWN
-from tallyrig.plans.series import FRAME, JOINTS, frames, joints
+from tallyrig.plans.series import FRAME, frames, joints
 from tallyrig.session import table
 
 R = Registry()
@@ -97,19 +97,20 @@ def half_day_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Checks that are never announced, and those that always are.
-EXCLUDED, ACTIONABLE = ("umi_not_applicable",), ("frame_drop_ratio", "abnormal_fps_loss", "duration_task_outlier")
+_NOTE = DEFAULTS["notifications"]
+_TEXTS = {k: ", ".join(f"'{v}'" for v in values) for k, values in _NOTE.items()}
 
 
 @R.add(
     SQL
-    + """SELECT id, check_name, CASE WHEN check_name IN ('umi_not_applicable') THEN 'skip' WHEN status IN ('fail') THEN 'publish'
-  WHEN status IN ('needs_review', 'warning') AND check_name IN ('frame_drop_ratio', 'abnormal_fps_loss', 'duration_task_outlier') THEN 'publish' ELSE 'skip' END AS action FROM fd"""
+    + f"""SELECT id, check_name, CASE WHEN check_name IN ({_TEXTS["exclude"]}) THEN 'skip' WHEN status IN ({_TEXTS["statuses"]}) THEN 'publish'
+  WHEN status IN ({_TEXTS["actionable_statuses"]}) AND check_name IN ({_TEXTS["actionable"]}) THEN 'publish' ELSE 'skip' END AS action FROM fd"""
 )
 def notification_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which findings are announced."""
     c, s = F.col("check_name"), F.col("status")
-    action = F.when(c.isin(*EXCLUDED), "skip").when(s == "fail", "publish").when(s.isin("needs_review", "warning") & c.isin(*ACTIONABLE), "publish").otherwise("skip")
+    wanted = s.isin(*_NOTE["statuses"]) | (s.isin(*_NOTE["actionable_statuses"]) & c.isin(*_NOTE["actionable"]))
+    action = F.when(c.isin(*_NOTE["exclude"]), "skip").when(wanted, "publish").otherwise("skip")
     return clean_findings(spark, sf_dir).select("id", "check_name", action.alias("action"))
 
 
@@ -328,55 +329,6 @@ def frame_count_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@R.add(
-    """WITH s AS (SELECT episode_path, row_idx, min(timestamp_ms) AS t, min(j1) AS j1, min(gripper) AS g FROM state_joint_position GROUP BY 1, 2),
-d AS (SELECT *, abs(j1 - lag(j1) OVER w) AS step, abs(g - lag(g) OVER w) AS gstep, t - lag(t) OVER w AS dt FROM s WINDOW w AS (PARTITION BY episode_path ORDER BY row_idx)),
-a AS (SELECT episode_path, count(*) FILTER (WHERE NOT isfinite(j1) OR j1 IS NULL) AS bad_j1, max(step) FILTER (WHERE isfinite(step)) AS step, max(gstep) FILTER (WHERE isfinite(gstep)) AS gstep, avg(g) FILTER (WHERE isfinite(g)) AS mean_g,
-  count(*) FILTER (WHERE t IS NULL OR NOT isfinite(t)) AS bad_t, count(*) FILTER (WHERE dt <= 0) / count(*) AS back FROM d GROUP BY 1)
-SELECT episode_path, 'joint_nan_inf' AS check_name, 'critical' AS severity, 'fail' AS status FROM a WHERE bad_j1 > 0
-UNION ALL SELECT episode_path, 'timestamps_missing_or_unparseable', 'major', 'fail' FROM a WHERE bad_t > 0
-UNION ALL SELECT episode_path, 'timestamps_not_monotonic', 'major', 'fail' FROM a WHERE back >= 0.01
-UNION ALL SELECT episode_path, 'joint_step_too_large', 'minor', 'needs_review' FROM a WHERE step > 0.1
-UNION ALL SELECT episode_path, 'gripper_step_too_large', 'minor', 'needs_review' FROM a WHERE gstep > 0.02
-UNION ALL SELECT episode_path, 'gripper_mean_too_low_remap_needed', 'minor', 'needs_review' FROM a WHERE mean_g < 0.03"""
-)
-def check_phase5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Findings of the robot-state checks, from one pass over the joint rows.
-
-    Every joint is judged; ``joint`` names it, null for findings of the episode.
-    A step is between readings of a joint that follow one another, whatever null,
-    NaN and infinite ones lie between.
-    """
-    known = [F.when(X.finite(F.col(j)), F.col(j)).alias(j) for j in JOINTS]
-    # The row itself is never null, so its last known value is the previous row's.
-    rows = joints(spark, sf_dir).select("episode_path", "row_idx", F.struct("timestamp_ms", "gripper").alias("row"), *known)
-    pairs = with_last_known(rows, ["episode_path"], "row_idx", ["row", *JOINTS])
-    pairs = pairs.select("*", "row.*", F.col("prev_row.timestamp_ms").alias("prev_timestamp_ms"), F.col("prev_row.gripper").alias("prev_gripper"))
-    grip = F.abs(F.col("gripper") - F.col("prev_gripper"))
-    most = lambda c: F.max(F.when(X.finite(c), c))
-    a = pairs.groupBy("episode_path").agg(
-        *[F.count_if(F.col(j).isNull()).alias(f"bad_{j}") for j in JOINTS],
-        *[most(F.abs(F.col(j) - F.col(f"prev_{j}"))).alias(f"step_{j}") for j in JOINTS],
-        F.count_if(~X.finite(F.col("timestamp_ms"))).alias("bad_t"),
-        (F.count_if(F.col("timestamp_ms") - F.col("prev_timestamp_ms") <= 0) / F.count(F.lit(1))).alias("back"),
-        most(grip).alias("gstep"),
-        F.avg(F.when(X.finite(F.col("gripper")), F.col("gripper"))).alias("mean_g"),
-    )
-    rules = [
-        *[("joint_nan_inf", "critical", "fail", F.col(f"bad_{j}") > 0, j) for j in JOINTS],
-        ("timestamps_missing_or_unparseable", "major", "fail", F.col("bad_t") > 0, None),
-        ("timestamps_not_monotonic", "major", "fail", F.col("back") >= 0.01, None),
-        *[("joint_step_too_large", "minor", "needs_review", F.col(f"step_{j}") > 0.1, j) for j in JOINTS],
-        ("gripper_step_too_large", "minor", "needs_review", F.col("gstep") > 0.02, None),
-        ("gripper_mean_too_low_remap_needed", "minor", "needs_review", F.col("mean_g") < 0.03, None),
-    ]
-    made = [
-        F.when(hit, F.struct(F.lit(c).alias("check_name"), F.lit(v).alias("severity"), F.lit(s).alias("status"), F.lit(j).cast("string").alias("joint")))
-        for c, v, s, hit, j in rules
-    ]
-    return a.select("episode_path", F.inline(F.array_compact(F.array(*made))))
-
-
 @R.add(
     SQL
     + f""", x AS (SELECT episode_path, {metric("p3_left_wrist_view_drop_ratio")} AS drop_ratio, {metric("p5_standstill_total_excess_ms")} / 1000 AS excess, {_D} AS d FROM ep)

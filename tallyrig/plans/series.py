@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyrig.config import DEFAULTS, by_robot, robots_sql
 from tallyrig.functions import exprs as X
 from tallyrig.functions.rotation import elements, gram_schmidt
 from tallyrig.functions.text import is_fresh
@@ -243,7 +244,7 @@ x AS (SELECT *, CASE WHEN lead_end IS NULL THEN first_t ELSE greatest(first_t, l
 SELECT episode_path, first_t AS first_timestamp_ms, last_t AS last_timestamp_ms, kept_a AS first_kept_timestamp_ms, kept_z AS last_kept_timestamp_ms,
   round(first_t - kept_a + kept_z - kept_z + kept_a - first_t + (kept_a - first_t) + (last_t - kept_z), 6) AS removed_total_ms, round(kept_z - kept_a, 6) AS remaining_duration_ms,
   CASE WHEN kept_a = first_t AND kept_z = last_t THEN 'no_trim' WHEN kept_z - kept_a < 5000 THEN 'reject_too_short_after_trim'
-    WHEN ((kept_a - first_t) + (last_t - kept_z)) / (last_t - first_t) > 0.5 THEN 'needs_review' ELSE 'trim_candidate' END AS decision FROM x"""
+    WHEN ((kept_a - first_t) + (last_t - kept_z)) / (last_t - first_t) > 0.4 THEN 'needs_review' ELSE 'trim_candidate' END AS decision FROM x"""
 )
 def trim_plan_recomputed(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """What to cut off at both ends of an episode, keeping half a second of the standstill."""
@@ -263,7 +264,7 @@ def trim_plan_recomputed(spark: SparkSession, sf_dir: str, chunk_rows: int = CHU
     decision = (
         F.when((F.col("a") == F.col("first_t")) & (F.col("z") == F.col("last_t")), "no_trim")
         .when(F.col("z") - F.col("a") < 5000, "reject_too_short_after_trim")
-        .when(F.try_divide(removed, F.col("last_t") - F.col("first_t")) > 0.5, "needs_review")
+        .when(F.try_divide(removed, F.col("last_t") - F.col("first_t")) > DEFAULTS["phase7"]["trim_ratio"], "needs_review")
         .otherwise("trim_candidate")
     )
     return e.select(
@@ -294,11 +295,12 @@ def jitter_score(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS)
 
 
 @R.add(
-    _EACH
+    SQL.rstrip() + ", " + robots_sql() + ", " + _EACH.removeprefix("WITH ")
     + """, v AS (SELECT episode_path, joint, (v - lag(v) OVER w) / nullif((timestamp_ms - lag(timestamp_ms) OVER w) / 1000.0, 0) AS v, timestamp_ms - lag(timestamp_ms) OVER w AS dt
   FROM u WHERE isfinite(timestamp_ms) WINDOW w AS (PARTITION BY episode_path, joint ORDER BY row_idx))
-SELECT episode_path, joint, count(*) AS steps, round(quantile_cont(abs(v), 0.99), 4) AS p99_velocity, round(max(abs(v)), 4) AS max_velocity, quantile_cont(abs(v), 0.99) > 3.0 AS exceeded FROM v WHERE dt > 0 GROUP BY 1, 2"""
-)
+SELECT episode_path, joint, count(*) AS steps, round(quantile_cont(abs(v), 0.99), 4) AS p99_velocity, round(max(abs(v)), 4) AS max_velocity,
+  quantile_cont(abs(v), 0.99) > any_value(velocity) AS exceeded FROM v LEFT JOIN ep USING (episode_path) JOIN limits l ON l.robot = CASE WHEN ep.robot IN (SELECT robot FROM limits) THEN ep.robot ELSE '' END WHERE dt > 0 GROUP BY 1, 2"""
+)
 def velocity_p99(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """The 99th percentile of each joint's speed between its readings whose time rises."""
     rows = joints(spark, sf_dir, JOINTS).filter(X.finite(F.col("timestamp_ms")))
@@ -311,23 +313,23 @@ def velocity_p99(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS)
     key = ["episode_path", "joint"]
     most = speeds.groupBy(*key).agg(F.max("v").alias("m"))
     out = grouped_quantiles(speeds, key, "v", {"p": 0.99}).join(most, key)
-    return out.select(*key, F.col("n").alias("steps"), F.round("p", 4).alias("p99_velocity"), F.round("m", 4).alias("max_velocity"), (F.col("p") > 3.0).alias("exceeded"))
-
-
-_BOUND = 1.0
+    out = out.join(clean_episodes(spark, sf_dir).select("episode_path", "robot"), "episode_path", "left")
+    return out.select(*key, F.col("n").alias("steps"), F.round("p", 4).alias("p99_velocity"), F.round("m", 4).alias("max_velocity"), (F.col("p") > by_robot(F.col("robot"), "velocity")).alias("exceeded"))
 
 
 @R.add(
-    _JOINTS
-    + """, u AS (UNPIVOT s ON j1, j2, j3, j4, j5, j6, j7 INTO NAME joint VALUE v)
-SELECT episode_path, joint, count(*) AS readings, count(*) FILTER (WHERE abs(v) > 1.003) AS violations, round(max(abs(v) - 1.0), 6) AS worst FROM u WHERE isfinite(v) GROUP BY 1, 2"""
-)
+    SQL.rstrip() + ", " + robots_sql() + ", " + _EACH.removeprefix("WITH ")
+    + """, b AS (SELECT u.*, joint_low, joint_high FROM u LEFT JOIN ep USING (episode_path) JOIN limits l ON l.robot = CASE WHEN ep.robot IN (SELECT robot FROM limits) THEN ep.robot ELSE '' END)
+SELECT episode_path, joint, count(*) AS readings, count(*) FILTER (WHERE v < joint_low - 0.003 OR v > joint_high + 0.003) AS violations, round(max(greatest(joint_low - v, v - joint_high)), 6) AS worst FROM b GROUP BY 1, 2"""
+)
 def limit_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Joint readings beyond a limit of one radian with the usual tolerance of 0.003."""
-    pairs = F.array(*[F.struct(F.lit(j).alias("joint"), F.col(j).alias("v")) for j in JOINTS])
-    rows = joints(spark, sf_dir).select("episode_path", F.inline(pairs)).filter(X.finite(F.col("v")))
+    """Joint readings beyond the limits of the episode's robot with the usual tolerance."""
+    low, high, slack = by_robot(F.col("robot"), "joint_low"), by_robot(F.col("robot"), "joint_high"), DEFAULTS["phase5"]["tolerance"]
+    v = F.col("v")
+    rows = each_joint(joints(spark, sf_dir, JOINTS)).join(clean_episodes(spark, sf_dir).select("episode_path", "robot"), "episode_path", "left")
+    beyond = (v < low - slack) | (v > high + slack)
     return rows.groupBy("episode_path", "joint").agg(
-        F.count(F.lit(1)).alias("readings"), F.count_if(F.abs("v") > _BOUND + 0.003).alias("violations"), F.round(F.max(F.abs("v") - _BOUND), 6).alias("worst")
+        F.count(F.lit(1)).alias("readings"), F.count_if(beyond).alias("violations"), F.round(F.max(F.greatest(low - v, v - high)), 6).alias("worst")
     )
 
 

@@ -59,10 +59,10 @@ CHUNKED = [(n, [p for p in inspect.signature(q).parameters if p.startswith("chun
 
 @pytest.mark.parametrize(("name", "chunks"), [(n, c) for n, c in CHUNKED if c])
 def test_equal_in_chunks_of_any_size(spark, folder, name, chunks):
-    query, sizes = series.queries()[name], {"chunk_rows": (8, 64, 8192), "chunk_ms": (600, 5_000, 10**9)}
+    query, sizes = series.queries()[name], {"chunk_rows": (8, 8192), "chunk_ms": (600, 10**9)}
     shown = lambda df: sorted(repr([None if v is None else round(v, 5) if isinstance(v, float) else v for v in r]) for r in df.collect())
-    results = [shown(query(spark, folder, **{c: sizes[c][k] for c in chunks})) for k in range(3)]
-    assert results[0] == results[1] == results[2]
+    results = [shown(query(spark, folder, **{c: sizes[c][k] for c in chunks})) for k in range(2)]
+    assert results[0] == results[1]
     assert results[0]
 
 

@@ -82,7 +82,7 @@ def test_video_numbers(spark):
 
 def test_config():
     assert config.merged({"a": {"b": 1, "c": 2}}, {"a": {"b": 3}}) == {"a": {"b": 3, "c": 2}}
-    assert config.lookup(config.load(), "phase3.drop_run") == 25 and config.lookup({}, "a.b", 7) == 7
+    assert config.lookup(config.load(), "phase3.drop_run_fail") == 25 and config.lookup({}, "a.b", 7) == 7
 
 
 def test_store(spark, tmp_path):
@@ -204,5 +204,5 @@ def test_expressions(spark):
     assert one(X.redact(lit('{"a": {"api_token": "s\\"x"}, "n": 1, "Password": 12}'))) == '{"a": {"api_token": "***"}, "n": 1, "Password": "***"}'
     for values, want in (([1.0], 0.0), ([1.0, 3.0], 2.0), ([1.0, 2.0, 9.0], 8.0), ([1.0, 2.0, 3.0, 4.0], 2.0), ([1.0, 2.0, 3.0, 4.0, 5.0], 3.0)):
         assert one(X.tukey_iqr(F.array(*map(lit, values)))) == want
-    assert one(X.evidence(lit('{"ratio": 0.2}'))) == "ratio=0.2" and one(X.device_category(lit("fold_UMI"), lit(None).cast("string"))) == "umi"
+    assert one(X.evidence(lit('{"violation_ratio": 0.2, "threshold": 3}'))) == "ratio=20.0%" and one(X.evidence(lit("broken"))) == "" and one(X.device_category(lit("fold_UMI"), lit(None).cast("string"))) == "umi"
     assert one(X.error_ratio(lit(9.0), lit(10.0))) == pytest.approx(0.1) and one(X.error_ratio(lit(9.0), lit(0.0))) == 0
