@@ -24,9 +24,9 @@ def join_aggregate(
     """``count(*)`` and sums per group over ``left JOIN right USING (on)``.
 
     ``group`` names columns of ``left`` (``on`` columns included).  Result:
-    ``group, n_rows, n_left, n_right`` with the rows of the join, the left rows
-    and matched right rows in it counted once, then ``sum_<column>`` for each
-    summed column, as SQL would give them over the joined rows.  ``how`` is
+    ``group, n_rows, n_left, n_right`` with the rows of the join, its left rows,
+    and the right rows that meet the group (a right row counts once in each group
+    that has left rows of its key), then ``sum_<column>`` for each summed column, as SQL would give them over the joined rows.  ``how`` is
     ``inner`` or ``left``; with ``left`` an unmatched left row counts as one
     joined row whose right columns are null.  Null keys match nothing, as in
     SQL.  Null values are left out of sums; a sum without values is null.

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyrig.session import partitions_for
+
 #: Times beyond this are not on any recording's clock.
 FAR_MS = 9.0e14
 
@@ -66,7 +68,7 @@ def regular_grid(
     by = Window.partitionBy(*part).orderBy("__t")
     first_slot, last_slot = F.col("__c") * stretch_slots, (F.col("__c") + 1) * stretch_slots - 1
     held = (
-        spread.repartition(*part)
+        spread.repartition(partitions_for(readings), *part)
         .withColumn("__next", F.lead("__t").over(by))
         .withColumn("__next", F.when(F.col("__next") - t <= max_gap_ms, F.col("__next")))
         .withColumn("__s", F.floor(t / slot_ms))

@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tallyrig.session import partitions_for
+
 CHUNK_ROWS = 8192
 
 
@@ -23,7 +25,7 @@ def one_row_each(df: DataFrame, keys: list[str], order: str, values: list[str])
 
 
 def _chunked(df: DataFrame, keys: list[str], order: str, chunk_rows: int) -> DataFrame:
-    return df.withColumn("__c", F.floor(F.col(order) / chunk_rows)).repartition(*keys, "__c")
+    return df.withColumn("__c", F.floor(F.col(order) / chunk_rows)).repartition(partitions_for(df), *keys, "__c")
 
 
 def with_previous(
@@ -124,4 +126,4 @@ def with_halo(df: DataFrame, keys: list[str], order: str, halo: float, chunk: fl
         F.array(here, F.floor((F.col(order) - halo) / chunk), F.floor((F.col(order) + halo) / chunk))
     )
     out = df.withColumn("__c", F.explode(spread)).withColumn("__native", F.col("__c") == here)
-    return out.repartition(*keys, "__c")
+    return out.repartition(partitions_for(df), *keys, "__c")

@@ -71,7 +71,21 @@ def release() -> None:
 atexit.register(release)
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Upper size estimate Catalyst has for ``df`` (bytes)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString())
+#: Bytes of source files whose rows go to one partition of a shuffle.
+PARTITION_BYTES = 64 << 20
+
+
+def partitions_for(*frames: DataFrame) -> int:
+    """How many partitions a shuffle of ``frames`` should have.
+
+    At least ``spark.sql.shuffle.partitions``; more where the files behind the
+    frames are larger than that many partitions should hold.  Sources of unknown
+    size (such as rows made in the program) do not count.
+    """
+    size = 0
+    for df in frames:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        for i in range(leaves.size()):
+            bytes_ = int(leaves.apply(i).stats().sizeInBytes().toString())
+            size += bytes_ if bytes_ < 1 << 60 else 0
+    return max(int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
