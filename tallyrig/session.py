@@ -86,6 +86,6 @@ def partitions_for(*frames: DataFrame) -> int:
     for df in frames:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
         for i in range(leaves.size()):
-            bytes_ = int(leaves.apply(i).stats().sizeInBytes().toString())
+            bytes_ = int(str(leaves.apply(i).stats().sizeInBytes()))
             size += bytes_ if bytes_ < 1 << 60 else 0
     return max(int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
