@@ -36,6 +36,13 @@ DEFAULTS: dict[str, Any] = {
             "standstill_segment", "excessive_standstill", "trajectory_not_smooth", "ik_executability_failed",
         ],
     },
+    "motion": {
+        "gap_ms": [200, 1000], "number": [1_000_000.0, 1_000_000.0],
+        "joint_position_abs": [8.0, 12.0], "joint_position_step": [0.35, 1.0], "joint_velocity_derived": [4.0, 8.0],
+        "eef_position_abs": [3.0, 10.0], "eef_position_step": [0.08, 0.25], "eef_velocity_derived": [2.0, 5.0],
+    },
+    "action": {"xyz_abs": 1.5},
+    "streak": {"length": 5, "shown": 20},
     "robots": {"arx5": _ARX5, "flexiv": _WIDE, "aloha": _WIDE},
     "default_robot": "arx5",
 }

@@ -9,7 +9,7 @@ import pytest
 
 from tallyrig.operators.ordered import over_rows, with_halo, with_previous
 from tallyrig.operators.trajectory import pchip, repair_masked
-from tallyrig.plans import series
+from tallyrig.plans import audits, series
 
 FRAMES = "episode_path string, modality string, row_idx long, timestamp_ms double, is_new string"
 AXES = [f"{s}_{a}" for s in ("left", "right") for a in "xyz"]
@@ -54,12 +54,13 @@ def folder(spark, tmp_path_factory):
     return path
 
 
-CHUNKED = [(n, [p for p in inspect.signature(q).parameters if p.startswith("chunk")]) for n, q in series.queries().items()]
+QUERIES = series.queries() | {n: audits.queries()[n] for n in ("motion_findings", "standstill_in_state", "frame_delta", "streak_warnings")}
+CHUNKED = [(n, [p for p in inspect.signature(q).parameters if p.startswith("chunk")]) for n, q in QUERIES.items()]
 
 
 @pytest.mark.parametrize(("name", "chunks"), [(n, c) for n, c in CHUNKED if c])
 def test_equal_in_chunks_of_any_size(spark, folder, name, chunks):
-    query, sizes = series.queries()[name], {"chunk_rows": (8, 8192), "chunk_ms": (600, 10**9)}
+    query, sizes = QUERIES[name], {"chunk_rows": (8, 8192), "chunk_ms": (600, 10**9)}
     shown = lambda df: sorted(repr([None if v is None else round(v, 5) if isinstance(v, float) else v for v in r]) for r in df.collect())
     results = [shown(query(spark, folder, **{c: sizes[c][k] for c in chunks})) for k in range(2)]
     assert results[0] == results[1]
