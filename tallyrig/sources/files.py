@@ -6,6 +6,7 @@ on tables.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable, Iterator
 
@@ -25,8 +26,8 @@ METADATA = (
 _EPISODE = r"^(.*?/episode_[^/]*)(?:/|$)"
 
 
-def listing(spark: SparkSession, roots: list[str]) -> DataFrame:
-    """Files below ``roots``, empty ones too: ``path, length, modified``.
+def entries(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """Files and folders below ``roots``, empty ones too: ``path, length, modified, is_dir``.
 
     The roots are on a file system mounted on all executors; each task walks
     some of the folders directly below them.
@@ -34,36 +35,44 @@ def listing(spark: SparkSession, roots: list[str]) -> DataFrame:
     tops = []
     for root in roots:
         root = root.rstrip("/")
-        entries = sorted(os.scandir(root), key=lambda e: e.name)
-        tops += [(f"{root}/{e.name}",) for e in entries]
+        tops += [(f"{root}/{e.name}",) for e in sorted(os.scandir(root), key=lambda e: e.name)]
 
     def walk(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             found = []
             for top in part["top"]:
-                names = [top] if os.path.isfile(top) else (f"{d}/{f}" for d, _, fs in os.walk(top) for f in fs)
-                for name in names:
+                names = [(top, os.path.isdir(top))]
+                for folder, inner, files in os.walk(top):
+                    names += [(f"{folder}/{n}", True) for n in inner] + [(f"{folder}/{n}", False) for n in files]
+                for name, is_dir in names:
                     info = os.stat(name)
-                    found.append((name, info.st_size, pd.Timestamp(info.st_mtime, unit="s").floor("us")))
-            yield pd.DataFrame(found, columns=["path", "length", "modified"])
+                    found.append((name, info.st_size, pd.Timestamp(info.st_mtime, unit="s").floor("us"), is_dir))
+            yield pd.DataFrame(found, columns=["path", "length", "modified", "is_dir"])
 
+    schema = "path string, length long, modified timestamp, is_dir boolean"
     if not tops:
-        return spark.createDataFrame([], "path string, length long, modified timestamp")
+        return spark.createDataFrame([], schema)
     folders = spark.createDataFrame(tops, "top string").repartition(max(1, min(len(tops), 1000)))
-    return folders.mapInPandas(walk, "path string, length long, modified timestamp")
+    return folders.mapInPandas(walk, schema)
+
+
+def listing(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """Files below ``roots``, empty ones too: ``path, length, modified``."""
+    return entries(spark, roots).filter(~F.col("is_dir")).drop("is_dir")
 
 
 def discover_episodes(spark: SparkSession, roots: list[str]) -> tuple[DataFrame, DataFrame]:
     """Episode folders below ``roots`` in order, and the hidden folders that were passed over.
 
     Folders named ``_quarantine`` are left out; those that start with a dot too,
-    but they are reported.  An episode is the outermost folder ``episode_*``.
+    but they are reported.  An episode is the outermost folder ``episode_*``,
+    also if nothing is in it.
     """
-    files = listing(spark, roots).select("path")
-    episode = F.regexp_extract("path", _EPISODE, 1)
+    found = entries(spark, roots).select(F.when(F.col("is_dir"), F.concat("path", F.lit("/"))).otherwise(F.col("path")).alias("path"))
+    episode = F.regexp_extract("path", r"^(.*?/episode_[^/]*)/", 1)
     hidden = F.regexp_extract("path", r"^(.*?/\.[^/]+)/", 1)
-    good = files.filter((hidden == "") & ~F.col("path").contains("/_quarantine/")).select(episode.alias("episode_path")).filter("episode_path <> ''")
-    skipped = files.select(hidden.alias("hidden_path")).filter("hidden_path <> ''")
+    good = found.filter((hidden == "") & ~F.col("path").contains("/_quarantine/")).select(episode.alias("episode_path")).filter("episode_path <> ''")
+    skipped = found.select(hidden.alias("hidden_path")).filter("hidden_path <> ''")
     return good.distinct().orderBy("episode_path"), skipped.distinct().orderBy("hidden_path")
 
 
@@ -133,14 +142,36 @@ def manifest_findings(files: DataFrame, manifests: DataFrame) -> DataFrame:
 
 
 def hash_mismatches(spark: SparkSession, manifests: DataFrame, roots: list[str]) -> DataFrame:
-    """Listed files whose content has another digest: ``path, expected, actual``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(roots)
-    path = F.regexp_replace("path", r"^file:/+", "/")
+    """Listed files whose content has another digest, or that cannot be read: ``path, expected, actual``.
+
+    Only the listed files below ``roots`` are read, each by the task that checks
+    it, in pieces.  ``actual`` is null for a file that cannot be read; absent files
+    are for ``manifest_findings``.
+    """
     listed = manifests.select("episode_path", F.explode(F.from_json("raw", "map<string, string>")).alias("name", "expected"))
     listed = listed.select(F.concat_ws("/", "episode_path", "name").alias("path"), F.lower("expected").alias("expected"))
-    actual = files.select(path.alias("path"), F.md5("content").alias("m"), F.sha2("content", 256).alias("s"))
-    right = F.when(F.length("expected") == 32, F.col("m")).otherwise(F.col("s"))
-    return listed.join(actual, "path").withColumn("actual", right).filter("actual <> expected").select("path", "expected", "actual")
+    below = F.lit(False)
+    for root in roots:
+        below = below | F.col("path").startswith(root.rstrip("/") + "/")
+
+    @F.pandas_udf("string")
+    def digest(paths: pd.Series, expected: pd.Series) -> pd.Series:
+        def of(path: str, known: str) -> str | None:
+            made = hashlib.md5() if len(known) == 32 else hashlib.sha256()
+            try:
+                with open(path, "rb") as file:
+                    while piece := file.read(1 << 20):
+                        made.update(piece)
+            except FileNotFoundError:
+                return known  # a finding of its own
+            except OSError:
+                return None
+            return made.hexdigest()
+
+        return pd.Series([of(p, e) for p, e in zip(paths, expected)], dtype="object")
+
+    some = listed.filter(below & F.col("expected").isNotNull()).repartition("path").withColumn("actual", digest("path", "expected"))
+    return some.filter(F.col("actual").isNull() | (F.col("actual") != F.col("expected"))).select("path", "expected", "actual")
 
 
 def device_reference(spark: SparkSession, path: str) -> DataFrame:
