@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyrig.session import partitions_for
+
 #: Times beyond this are on no clock; nothing is near them.
 FAR = 9.0e14
 
@@ -41,6 +43,7 @@ def nearest_by_time(
     * Empty tables give no rows.
     """
     width = tolerance * cells
+    parts = partitions_for(left, right)
     usable = lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < FAR)
     t, f = F.col("__t"), F.col("__f")
 
@@ -55,7 +58,7 @@ def nearest_by_time(
     indexed = moments.withColumn(
         "__cell",
         F.explode(F.sequence(F.floor((t - reach) / width), F.floor((t + reach) / width))),
-    ).repartition(entity, "__cell")
+    ).repartition(parts, entity, "__cell")
     by = Window.partitionBy(entity, "__cell").orderBy("__t")
     intervals = (
         indexed.withColumn("__before", F.lag("__t").over(by))
@@ -71,7 +74,7 @@ def nearest_by_time(
         .groupBy(entity, *left_id)
         .agg(F.min("__f").alias("__f"))
         .withColumn("__cell", F.floor(f / width))
-        .repartition(entity, "__cell")
+        .repartition(parts, entity, "__cell")
     )
     # With the same subtraction on both sides of each midpoint, exactly one
     # right record holds a left time.

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyrig.session import partitions_for
+
 #: Rows of recording order in one chunk.
 CHUNK_ROWS = 8192
 
@@ -49,7 +51,7 @@ def collapse_runs(
     single = taken.groupBy("e", "o").agg(
         F.min(F.when(~F.isnan("t"), F.col("t"))).alias("t"), *[F.min(f"s{i}").alias(f"s{i}") for i in range(n)]
     )
-    chunked = single.withColumn("c", F.floor(F.col("o") / chunk_rows)).repartition("e", "c")
+    chunked = single.withColumn("c", F.floor(F.col("o") / chunk_rows)).repartition(partitions_for(rows), "e", "c")
     part = Window.partitionBy("e", "c")
     by = part.orderBy("o")
     near = F.lit(True)
