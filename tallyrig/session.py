@@ -50,8 +50,6 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-cut = written
-
 
 def release() -> None:
     """Remove all intermediate tables.
