@@ -15,7 +15,7 @@ from tallyrig.plans import series
 from tallyrig.plans.base import SQL, clean_episodes
 from tallyrig.plans.registry import Registry
 from tallyrig.plans.series import FRAME
-from tallyrig.session import table
+from tallyrig.session import table, written
 
 R = Registry()
 _P = DEFAULTS["phase3"]
@@ -35,10 +35,14 @@ g AS (SELECT task, robot, modality, any_value(n) AS n, median(longest) AS med, m
 SELECT episode_path, modality, longest, n AS group_size, CASE WHEN n >= 5 THEN 'major' ELSE 'minor' END AS severity, CASE WHEN n >= 5 THEN 'needs_review' ELSE 'warning' END AS status
 FROM d JOIN g USING (task, robot, modality) WHERE (n >= 5 AND iqr > 0 AND longest > med + 3 * iqr) OR (n < 5 AND longest >= 10)"""
 )
-def consecutive_drops_outlier(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Streams whose longest run of stale frames is far beyond those of their task and robot; a fixed bound in small groups."""
+def consecutive_drops_outlier(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS, runs: DataFrame | None = None) -> DataFrame:
+    """Streams whose longest run of stale frames is far beyond those of their task and robot; a fixed bound in small groups.
+
+    ``runs`` may give the result of ``drop_runs`` where it is there already.
+    """
     names = clean_episodes(spark, sf_dir).select("episode_path", "task", "robot").filter("task IS NOT NULL AND robot IS NOT NULL")
-    rows = series.drop_runs(spark, sf_dir, chunk_rows).select(*FRAME, "longest").join(names, "episode_path")
+    runs = series.drop_runs(spark, sf_dir, chunk_rows) if runs is None else runs
+    rows = runs.select(*FRAME, "longest").join(names, "episode_path")
     key = ["task", "robot", "modality"]
     half = lambda n: F.floor(n / 2)
     middle = lambda name, first, n: {f"{name}a": first + F.floor((n - 1) / 2), f"{name}z": first + F.floor(n / 2)}
@@ -98,9 +102,11 @@ def check_phase3(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS)
         finding("duplicate_timestamps", *share_tiers(same), same > 0, modality, same),
     ])
 
+    # Written once, a row a stream; it is looked at twice.
+    runs = written(series.drop_runs(spark, sf_dir, chunk_rows))
     stale, longest = F.col("stale") / F.col("n"), F.col("longest")
     most = F.when(modality.contains("tactile"), _P["tactile_drop_ratio"]).otherwise(_P["drop_ratio"])
-    drops = emitted(series.drop_runs(spark, sf_dir, chunk_rows), key, [
+    drops = emitted(runs, key, [
         finding("frame_drop_ratio", "major", "fail", stale > most, modality, stale),
         finding("frame_drop_consecutive", "major", "fail", longest >= _P["drop_run_fail"], modality, longest),
     ])
@@ -114,7 +120,7 @@ def check_phase3(spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS)
     aligned = emitted(series.alignment_spread(spark, sf_dir), key, [
         finding(f"modality_alignment_{end}", "major", "fail", F.col(f"{end}_misaligned"), None, F.col(f"{end}_spread")) for end in ("start", "end")
     ])
-    outliers = consecutive_drops_outlier(spark, sf_dir, chunk_rows)
+    outliers = consecutive_drops_outlier(spark, sf_dir, chunk_rows, runs)
     far = emitted(outliers, key, [finding("consecutive_drops_outlier", F.col("severity"), F.col("status"), F.lit(True), modality, longest)])
     return unread.unionByName(order).unionByName(drops).unionByName(fps).unionByName(aligned).unionByName(far)
 
