@@ -12,6 +12,7 @@ from tallyrig.operators.grid import regular_grid
 from tallyrig.operators.ordered import islands, running_sum, with_halo, with_previous
 from tallyrig.operators.quantile import average_ranks, grouped_median, grouped_quantiles
 from tallyrig.operators.spikes import SpikeRule, implausible_readings
+from tallyrig.plans import dealt
 
 RULE = {"x": SpikeRule(factor=10, held_rows=4, low=-2.0, high=2.0), "y": SpikeRule(factor=10, held_rows=4, low=-2.0, high=2.0, own=False)}
 SCHEMA = "source string, field string, row_idx long, value double, level string"
@@ -81,6 +82,27 @@ def test_a_rim_is_its_own_level_only_by_rule(spark):
     assert got == [("y", 9), ("y", 10)]
 
 
+def test_opposite_infinities_are_no_step(spark):
+    # 17 steps of 0.01, 11 of 0.1: five steps of infinity more would make 0.1 the usual one.
+    line = [i * 0.01 for i in range(20)] + [math.inf, -math.inf] * 3 + [0.2 + i * 0.1 for i in range(12)]
+    line[8] += 0.5
+    df = spark.createDataFrame([("s", "x", i, v) for i, v in enumerate(line)], "source string, field string, row_idx long, value double")
+    for chunk in (3, 8192):
+        assert (8, True) in {(r.row_idx, r.spike) for r in implausible_readings(df, RULE, chunk_rows=chunk).collect()}
+
+
+def test_p1_counts_a_reading_without_row_idx_as_the_last(spark, tmp_path, rows):
+    lines = [("e", i, 3.0 if i == 7 else i * 0.01, i * 0.01, -5.0 if i == 7 else i * 33.0) for i in range(12)]
+    lines += [("e", None, 0.12, 9.0, 396.0), ("e", None, 0.13, 9.0, 397.0), (None, 7, 9.0, 9.0, -9.0)]
+    df = spark.createDataFrame(lines, "episode_path string, row_idx long, left_x double, right_z double, timestamp_ms double")
+    for name in ("actions_eef_pose", "state_joint_position"):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    assert rows(dealt.p1_flags(spark, str(tmp_path))) == [
+        ("actions.eef_pose", "left_x", "e", 7, True, False, True),
+        ("observation.state.joint_position", "timestamp_ms", "e", 7, False, False, True),
+    ]
+
+
 def test_spikes_of_nothing(spark):
     assert implausible_readings(spark.createDataFrame([], SCHEMA), RULE).count() == 0
 
